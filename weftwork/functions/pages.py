@@ -377,7 +377,7 @@ def tables(html) -> Column:
 
     def one(table):
         rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-        body = F.filter(F.transform(F.slice(rows, 2, 2147483647), lambda r: cells(r, "td")), lambda r: F.size(r) > 0)
+        body = F.filter(F.transform(F.slice(rows, 2, F.size(rows)), lambda r: cells(r, "td")), lambda r: F.size(r) > 0)
         return F.struct(
             F.coalesce(cells(F.get(rows, F.lit(0)), "th|td"), F.array().cast("array<string>")).alias("headers"),
             body.alias("rows"),

@@ -14,23 +14,24 @@ from weftwork.operators import categories
 from weftwork.operators.windows import distinct_on
 
 
-def text_builds(pages: DataFrame) -> DataFrame:
-    """A build record per page from its head, heading and images alone."""
+def text_builds(pages: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """A build record per page from its head, heading and images alone; ``keep`` carries page columns along."""
     og = P.open_graph("html")
     title = F.coalesce(F.element_at(og, "title"), P.heading("html"))
     return pages.select(
         urls.build_id("url").alias("build_id"), F.col("url").alias("source_url"),
         F.trim(F.substring_index(title, "|", 1)).alias("page_title"), P.description("html").alias("description"),
         P.page_images("html").alias("gallery_images"), F.col("slug") if "slug" in pages.columns else urls.showcase_slug("url").alias("slug"),
+        *keep,
     )
 
 
-def builds(pages: DataFrame, vehicles: DataFrame, constants: dict[str, str] | None = None) -> DataFrame:
+def builds(pages: DataFrame, vehicles: DataFrame, constants: dict[str, str] | None = None, keep: list[str] = ()) -> DataFrame:
     """Build records; ``vehicles`` (slug, make, model, package_name) has one row per slug.
 
     ``constants`` are the fixed columns of a site, such as source type and brand.
     """
-    joined = text_builds(pages).join(vehicles, "slug", "left")
+    joined = text_builds(pages, keep).join(vehicles, "slug", "left")
     blank = {c: F.coalesce(c, F.lit("")) for c in ("make", "model", "package_name")}
     known = (F.col("make") != "") & (F.col("model") != "")
     out = joined.withColumns(blank).withColumns({

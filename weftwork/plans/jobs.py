@@ -275,6 +275,20 @@ def quality_scores(urls: DataFrame, pages: DataFrame, builds: DataFrame) -> Data
     return wide.unpivot([], list(scores), "metric", "score").withColumn("status", buckets.light("score"))
 
 
+def auto_fix(builds: DataFrame) -> DataFrame:
+    """Years as text, levels from the mod count, no sale data on stories; what was changed is marked."""
+    level = buckets.mod_level(F.size("modifications"))
+    wrong_level = F.coalesce(F.size("modifications") > 0, F.lit(False)) & ~F.col("modification_level").eqNullSafe(level)
+    story = F.col("source_type").isin([t for t in vocab.SOURCE_TYPES if t not in vocab.SALE_SOURCE_TYPES])
+    wrong_sale = F.coalesce(story, F.lit(False)) & F.col("sale_data").isNotNull()
+    number = dict(builds.dtypes)["year"] != "string"
+    return builds.withColumns({
+        "fixed_year": F.col("year").isNotNull() if number else F.lit(False), "fixed_level": wrong_level, "fixed_sale": wrong_sale,
+        "year": F.col("year").cast("string"), "modification_level": F.when(wrong_level, level).otherwise(F.col("modification_level")),
+        "sale_data": F.when(~wrong_sale, F.col("sale_data")),
+    })
+
+
 # --- scraper health --------------------------------------------------------
 
 
@@ -339,10 +353,8 @@ def stage_issues(counts: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, vehicles: DataFrame, constants: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Pages to builds and deduplicated mods, as two lazy tables."""
-    builds = extraction.builds(pages, vehicles, constants)
-    context = builds.select("build_id", "source_url", "make", "model", "package_name")
-    with_html = pages.select(F.col("url").alias("source_url"), "html").join(context, "source_url")
-    return builds, extraction.dedupe_mods(extraction.mods(with_html))
+    rows = extraction.builds(pages, vehicles, constants, keep=["html"])
+    return rows.drop("html"), extraction.dedupe_mods(extraction.mods(rows))
 
 
 def sync_sources(sources: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
