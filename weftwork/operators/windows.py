@@ -40,9 +40,9 @@ def dedupe_by(df: DataFrame, key: Column, position: str) -> DataFrame:
 def repeats(df: DataFrame, keys: Sequence[str], order: str, name: str = "is_repeat") -> DataFrame:
     """Marks rows that are not the first of their key; ``order`` is unique."""
     first = df.groupBy(*keys).agg(F.min(order).alias("_first"))
-    match = [df[k].eqNullSafe(first[k]) for k in keys]
-    out = df.join(first, match, "left")
-    return out.select(*[df[c] for c in df.columns], (df[order] != F.col("_first")).alias(name))
+    first = first.select("_first", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(first, match, "left").select(*df.columns, (F.col(order) != F.col("_first")).alias(name))
 
 
 def run_lengths(events: DataFrame, keys: Sequence[str], order: Sequence, hit: Column, reset: Column, name: str = "run", **kw) -> DataFrame:

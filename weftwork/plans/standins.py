@@ -187,6 +187,10 @@ def log_of(events: DataFrame) -> DataFrame:
     return events.withColumn("k", k).selectExpr(*_projection(LOG_SQL))
 
 
+def http_of(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*_projection(HTTP_SQL))
+
+
 def _projection(text: str) -> list[str]:
     """The select list of a stand-in, cut at top-level commas."""
     body = text[len("SELECT "):text.rindex("\nFROM ")]

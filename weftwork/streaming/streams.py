@@ -174,8 +174,20 @@ def extract_builds(pages: DataFrame, vehicles: DataFrame) -> DataFrame:
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
-    """Processes what has arrived and stops; run it again for what comes later."""
-    query = stream.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+    """Processes what has arrived and stops; run it again for what comes later.
+
+    Complete mode rewrites the result with every batch. Update mode keeps one
+    folder per batch, so that a repeated batch replaces itself.
+    """
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        query = writer.format(fmt).start(path)
+    else:
+        def store(batch: DataFrame, batch_id: int) -> None:
+            target = path if mode == "complete" else f"{path}/batch_id={batch_id}"
+            batch.write.mode("overwrite").format(fmt).save(target)
+
+        query = writer.foreachBatch(store).start()
     query.awaitTermination()
     return query
 
