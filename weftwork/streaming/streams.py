@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from weftwork import schemas, vocab
-from weftwork.operators import aggregates, extraction
+from weftwork.operators import aggregates, extraction, scan, windows
 
 # State operators keep their values in RocksDB, which spills to disk.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -70,26 +70,31 @@ def idle_gaps(log: DataFrame, keys: list[str], ts: str = "ts", gap: str = "10 mi
     return stretches.select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("stalled_at"), "events")
 
 
-class BlockRuns(StatefulProcessor):
-    """Consecutive blocks per source with the wait they call for.
+def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """One source's rows of one trigger by event time.
 
-    Rows of one trigger are handled in event order; the state is one number.
+    They are three narrow columns and a trigger is bounded by the reader's
+    ``maxFilesPerTrigger``; sources too hot for that go through
+    ``write_block_runs``, which needs no group in one task.
     """
+    return pd.concat(list(rows)).sort_values(["ts", "event_id"])
+
+
+class BlockRuns(StatefulProcessor):
+    """Consecutive blocks per source with the wait they call for; the state is one number."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "run bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         run = int(self.run.get()[0]) if self.run.exists() else 0
-        for frame in rows:
-            out = []
-            # The input is sorted within the batch by the caller's micro-batch order.
-            for event_id, status in frame.sort_values(["ts", "event_id"])[["event_id", "status"]].itertuples(index=False):
-                run = run + 1 if status == "blocked" else 0 if status == "success" else run
-                wait = min(vocab.BACKOFF_START_S * 2 ** min(run, 20), vocab.BACKOFF_MAX_S)
-                out.append((key[0], event_id, status, run, wait, run >= vocab.STOP_AFTER_BLOCKS))
-            self.run.update((run,))
-            yield pd.DataFrame(out, columns=["source", "event_id", "status", "run", "backoff_s", "should_stop"])
+        out = []
+        for event_id, status in _in_order(rows)[["event_id", "status"]].itertuples(index=False):
+            run = run + 1 if status == "blocked" else 0 if status == "success" else run
+            wait = min(vocab.BACKOFF_START_S * 2 ** min(run, 20), vocab.BACKOFF_MAX_S)
+            out.append((key[0], event_id, status, run, wait, run >= vocab.STOP_AFTER_BLOCKS))
+        self.run.update((run,))
+        yield pd.DataFrame(out, columns=["source", "event_id", "status", "run", "backoff_s", "should_stop"])
 
     def close(self) -> None:
         pass
@@ -105,14 +110,13 @@ class StatusAlerts(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0] if self.last.exists() else None
-        for frame in rows:
-            out = []
-            for event_id, status in frame.sort_values(["ts", "event_id"])[["event_id", "status"]].itertuples(index=False):
-                if status in self.alarming and status != last:
-                    out.append((key[0], event_id, status, last))
-                last = status
-            self.last.update((last,))
-            yield pd.DataFrame(out, columns=["source", "event_id", "status", "previous_status"])
+        out = []
+        for event_id, status in _in_order(rows)[["event_id", "status"]].itertuples(index=False):
+            if status in self.alarming and status != last:
+                out.append((key[0], event_id, status, last))
+            last = status
+        self.last.update((last,))
+        yield pd.DataFrame(out, columns=["source", "event_id", "status", "previous_status"])
 
     def close(self) -> None:
         pass
@@ -168,6 +172,38 @@ def stall_alerts(log: DataFrame, delay: str = "1 minute") -> DataFrame:
     return rows.groupBy("source").transformWithStateInPandas(StallTimer(), "source string, stalled_at timestamp", "Append", "EventTime")
 
 
+def write_block_runs(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """``block_runs`` for sources of any size: each trigger is a distributed batch job.
+
+    Runs are counted with segmented windows; the run a source ended the last
+    trigger with is a small table next to the rows. Folders carry the batch
+    number, so a repeated batch replaces itself.
+    """
+    spark = log.sparkSession
+    status = F.col("status")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("source", "event_id", "ts", "status")
+        if batch_id == 0:
+            before = rows.select("source", F.lit(0).cast("bigint").alias("before")).limit(0)
+        else:
+            before = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
+        order = ["ts", "event_id"]
+        runs = windows.run_lengths(rows, ["source"], order, status == "blocked", status == "success")
+        runs = scan.running(runs, ["source"], order, {"_resets": ("sum", F.when(status == "success", 1).otherwise(0).cast("bigint"))})
+        carried = F.when(F.col("_resets") == 0, F.coalesce("before", F.lit(0))).otherwise(0)
+        out = runs.join(before, "source", "left").withColumn("run", F.col("run") + carried).select("source", "event_id", "ts", "status", "run")
+        windows.with_backoff(out).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        done = spark.read.parquet(f"{path}/rows/batch_id={batch_id}")
+        last = done.groupBy("source").agg(F.max_by("run", F.struct("ts", "event_id")).alias("_run"))
+        state = before.join(last, "source", "full_outer").select("source", F.coalesce("_run", "before").alias("before"))
+        state.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+
+    query = log.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def extract_builds(pages: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Build records of newly arrived pages."""
     return extraction.builds(pages, vehicles)
