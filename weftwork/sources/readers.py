@@ -95,16 +95,30 @@ def with_source(df: DataFrame) -> DataFrame:
     return df.select("*", source_of_path(F.col("_metadata.file_path")).alias("source"))
 
 
+def _lines(spark: SparkSession, path, schema: str) -> DataFrame:
+    """Non-blank lines as (value, r, source); ``r._corrupt_record`` is set where a line is not JSON.
+
+    Parsed from text, so that counts do not depend on which columns are read.
+    """
+    text = spark.read.text(path).select("value", source_of_path(F.col("_metadata.file_path")).alias("source"))
+    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return text.where(F.trim("value") != "").withColumn("r", parsed)
+
+
+def _good(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col("r._corrupt_record").isNull()).select("r.*", "source").drop("_corrupt_record")
+
+
 def read_records(spark: SparkSession, pattern: str, schema: str, wrapper: str | None = None, fmt: str = "jsonl") -> DataFrame:
     """Records of all sources under a glob, with the source from the path.
 
     ``fmt`` json reads envelopes ``{wrapper: [...]}`` and bare lists alike.
     """
     if fmt == "jsonl":
-        return with_source(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(pattern))
+        return _good(_lines(spark, pattern, schema))
     text = spark.read.text(pattern, wholetext=True)
     text = text.select("value", source_of_path(F.col("_metadata.file_path")).alias("source"))
-    row = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(schema)
+    row = T.StructType.fromDDL(schema)
     bare = F.from_json("value", T.ArrayType(row))
     inside = F.from_json(F.get_json_object("value", f"$.{wrapper}"), T.ArrayType(row)) if wrapper else bare
     body = F.when(F.ltrim("value").startswith("["), bare).otherwise(inside)
@@ -145,19 +159,18 @@ def read_url_envelopes(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_tolerant(spark: SparkSession, path, schema: str) -> DataFrame:
     """JSON lines; blank and unreadable lines are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return _good(_lines(spark, path, schema)).drop("source")
 
 
 def read_with_rejects(spark: SparkSession, path, schema: str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the lines that could not be read."""
-    full = f"{schema}, _corrupt_record string"
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").json(path)
-    return rows.where("_corrupt_record is null").drop("_corrupt_record"), rows.where("_corrupt_record is not null").select("_corrupt_record")
+    lines = _lines(spark, path, schema)
+    return _good(lines).drop("source"), lines.where(F.col("r._corrupt_record").isNotNull()).select(F.col("value").alias("line"))
 
 
 def read_progress(spark: SparkSession, path) -> DataFrame:
     """The append-only fetch log, with its source."""
-    return with_source(spark.read.schema(schemas.PROGRESS).option("mode", "DROPMALFORMED").json(path))
+    return _good(_lines(spark, path, schemas.PROGRESS))
 
 
 def read_failures(spark: SparkSession, path: str, form: str) -> DataFrame:
