@@ -93,11 +93,12 @@ def brute(texts, words, min_length, alone_below):
     return out
 
 
+@pytest.mark.parametrize("automaton_terms", [100, 0])
 @pytest.mark.parametrize("min_length, alone_below", [(1, None), (1, 8), (5, 8), (3, 4)])
-def test_find_terms(spark, min_length, alone_below):
+def test_find_terms(spark, min_length, alone_below, automaton_terms):
     texts = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string")
     terms = spark.createDataFrame([(w,) for w in WORDS], "w string")
-    found = find_terms(texts, "id", "text", terms, "w", min_length, alone_below)
+    found = find_terms(texts, "id", "text", terms, "w", min_length, alone_below, automaton_terms)
     assert {tuple(r) for r in found.collect()} == brute(TEXTS, WORDS, min_length, alone_below)
 
 
@@ -108,7 +109,7 @@ def test_find_terms_with_many_lengths(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     terms = spark.createDataFrame([(w,) for w in words], "w string")
     for alone_below in (None, 8):
-        found = find_terms(df, "id", "text", terms, "w", 1, alone_below)
+        found = find_terms(df, "id", "text", terms, "w", 1, alone_below, automaton_terms=0)
         assert {tuple(r) for r in found.collect()} == brute(texts, set(words), 1, alone_below)
 
 

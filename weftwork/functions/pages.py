@@ -15,11 +15,12 @@ from weftwork.functions.urls import _col, any_match, is_followable, netloc, reso
 
 
 def _non_ascii(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[\x00-\x7F]", ""))
+    count = F.length(F.regexp_replace(text, r"[\x00-\x7F]+", ""))
+    return F.when(F.octet_length(text) == F.length(text), 0).otherwise(count)
 
 
 def _control(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\x00-\x08\x0B\x0C\x0E-\x1F]", ""))
+    return F.length(F.regexp_replace(text, r"[^\x00-\x08\x0B\x0C\x0E-\x1F]+", ""))
 
 
 def text_corruption(html, challenge: bool = True) -> Column:
@@ -31,7 +32,7 @@ def text_corruption(html, challenge: bool = True) -> Column:
     start = F.lower(F.regexp_replace(html, r"^\s+", ""))
     proper = start.startswith("<!doctype") | start.startswith("<html") | start.startswith("<?xml")
     body = F.regexp_extract(html, r"(?is)^\s*<html><head></head><body>(.*)$", 1)
-    foreign = _non_ascii(body) + F.length(F.regexp_replace(body, r"[^\x00-\x1F]", ""))
+    foreign = _non_ascii(body) + F.length(F.regexp_replace(body, r"[^\x00-\x1F]+", ""))
     wrapped = foreign > 0.3 * F.length(body)
     garbage = _control(html) + 0.5 * _non_ascii(html)
     # A page that opens with <html> is proper, so the wrapped form is tested before it.

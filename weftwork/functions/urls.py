@@ -6,6 +6,7 @@ hold spaces, pipes and raw accents that ``java.net.URI`` rejects.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,6 +22,12 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _once(parts: dict[str, Column], build: Callable[[Column], Column]) -> Column:
+    """``build`` over named parts that are computed once each, however often it uses them."""
+    row = F.struct(*[value.alias(name) for name, value in parts.items()])
+    return F.get(F.transform(F.array(row), build), F.lit(0))
+
+
 def any_match(text, patterns: list[str], ignore_case: bool = True) -> Column:
     """True where any of the patterns is found; one alternation, one scan of the text."""
     flag = "(?i)" if ignore_case else ""
@@ -100,14 +107,17 @@ def canonical_url(
     """One spelling per page: the key for deduplication."""
     trimmed = F.trim(_col(url))
     host_ = host(trimmed) if lowercase_host else netloc(trimmed)
-    host_ = F.regexp_replace(host_, r"^www\.", "")
-    path_ = F.regexp_replace(path(trimmed), r";[^/]*$", "")
-    path_ = F.regexp_replace(path_, r"/+$", "")
-    path_ = F.when(path_ == "", "/").otherwise(path_)
-    scheme_ = F.when(scheme(trimmed) == "", "https").otherwise(scheme(trimmed))
-    query_ = canonical_query(query_string(trimmed), vocab.TRACKING_PARAMS if remove_tracking else None)
-    fragment_ = F.lit("") if remove_fragments else fragment(trimmed)
-    built = _unsplit(scheme_, host_, path_, query_, fragment_)
+    parts = {
+        "host": F.regexp_replace(host_, r"^www\.", ""),
+        "path": F.regexp_replace(F.regexp_replace(path(trimmed), r";[^/]*$", ""), r"/+$", ""),
+        "scheme": scheme(trimmed),
+        "query": canonical_query(query_string(trimmed), vocab.TRACKING_PARAMS if remove_tracking else None),
+        "fragment": F.lit("") if remove_fragments else fragment(trimmed),
+    }
+    built = _once(parts, lambda p: _unsplit(
+        F.when(p["scheme"] == "", "https").otherwise(p["scheme"]), p["host"],
+        F.when(p["path"] == "", "/").otherwise(p["path"]), p["query"], p["fragment"],
+    ))
     return F.when(F.coalesce(_col(url), F.lit("")) == "", "").otherwise(built)
 
 
@@ -118,8 +128,10 @@ def light_url(url) -> Column:
         F.split(query_string(url), "&"),
         lambda part: ~F.lower(F.substring_index(part, "=", 1)).isin(vocab.LIGHT_TRACKING_PARAMS),
     )
-    plain_path = F.regexp_replace(path(url), r";[^/]*$", "")
-    return _unsplit(scheme(url), host(url), plain_path, F.array_join(kept, "&"), F.lit(""))
+    parts = {
+        "scheme": scheme(url), "host": host(url), "path": F.regexp_replace(path(url), r";[^/]*$", ""), "query": F.array_join(kept, "&"),
+    }
+    return _once(parts, lambda p: _unsplit(p["scheme"], p["host"], p["path"], p["query"], F.lit("")))
 
 
 def registered_domain(url, include_subdomain: bool = False) -> Column:
@@ -162,7 +174,7 @@ def is_valid_url(url, web_only: bool = True) -> Column:
 def build_id(url) -> Column:
     """Deterministic 63-bit id: the first 8 bytes of the MD5, little-endian, top bit cleared."""
     digest = F.md5(F.trim(_col(url)))
-    swapped = F.concat(*[F.substring(digest, at, 2) for at in range(15, 0, -2)])
+    swapped = F.regexp_replace(digest, "^(..)(..)(..)(..)(..)(..)(..)(..).*$", "$8$7$6$5$4$3$2$1")
     return F.conv(swapped, 16, -10).cast("bigint").bitwiseAND(F.lit((1 << 63) - 1))
 
 
@@ -237,22 +249,26 @@ def _without_dots(path_: Column) -> Column:
 
 def resolve(href, base) -> Column:
     """A link as an absolute URL, relative to the page it was found on."""
-    href, base = _col(href), _col(base)
-    root = F.concat(scheme(base), F.lit("://"), netloc(base))
-    base_path = path(base)
+    parts = {"href": _col(href), "base": _col(base), "scheme": scheme(base), "host": netloc(base), "path": path(base)}
+    return _once(parts, _resolved)
+
+
+def _resolved(p: Column) -> Column:
+    href, base, base_path = p["href"], p["base"], p["path"]
+    root = F.concat(p["scheme"], F.lit("://"), p["host"])
     folder = F.regexp_replace(base_path, "[^/]*$", "")
     folder = F.when(folder == "", "/").otherwise(folder)
     tail = F.regexp_extract(href, r"([?#].*)$", 1)
     plain = F.regexp_replace(href, r"[?#].*$", "")
-    with_query = F.when(query_string(base) != "", F.concat(F.lit("?"), query_string(base))).otherwise("")
+    query = query_string(base)
     return (
         F.when(href == "", base)
-        .when(scheme(href) != "", href)
-        .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
+        .when(href.rlike(_SCHEME), href)
+        .when(href.startswith("//"), F.concat(p["scheme"], F.lit(":"), href))
         .when(href.startswith("/") & ~href.contains("/."), F.concat(root, href))
         .when(href.startswith("/"), F.concat(root, _without_dots(plain), tail))
         .when(href.startswith("?"), F.concat(root, base_path, href))
-        .when(href.startswith("#"), F.concat(root, base_path, with_query, href))
+        .when(href.startswith("#"), F.concat(root, base_path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), href))
         .otherwise(F.concat(root, _without_dots(F.concat(folder, plain)), tail))
     )
 

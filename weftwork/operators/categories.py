@@ -19,6 +19,7 @@ from weftwork import vocab
 from weftwork.functions.text import normalize_name
 from weftwork.functions.urls import _col, any_match
 from weftwork.operators.terms import find_terms
+from weftwork.session import checkpointed
 
 # Above this the component names are joined in as chunks instead of sent with the function.
 _CLOSURE_TERMS = 5000
@@ -98,15 +99,18 @@ def similarity(a, b) -> Column:
     return score(F.lower(_col(a)), F.lower(_col(b)))
 
 
-def _closest(name: str, terms: list[tuple[str, int]]) -> tuple:
+def _prepared(terms: list[tuple[str, int]]) -> list[tuple]:
+    """Each term with a matcher that has it indexed."""
+    return [(term, position, SequenceMatcher(None, "", term)) for term, position in terms]
+
+
+def _closest(name: str, terms: list[tuple]) -> tuple:
     """Most similar term; the first of equals. Terms that cannot win by length or letters are skipped."""
-    matcher = SequenceMatcher(None)
-    matcher.set_seq1(name)
     best = (None, 0.0, None)
-    for term, position in terms:
+    for term, position, matcher in terms:
         if 2.0 * min(len(name), len(term)) <= best[1] * (len(name) + len(term)):
             continue
-        matcher.set_seq2(term)
+        matcher.set_seq1(name)
         if matcher.quick_ratio() <= best[1]:
             continue
         score = matcher.ratio()
@@ -121,7 +125,9 @@ def best_component(names: DataFrame, text: str, components: DataFrame, closure_t
     Up to ``closure_terms`` components travel with the function; more are joined
     in as chunks of bounded size and the best of the chunks is kept.
     """
-    distinct = names.select(text).where(F.col(text).isNotNull()).distinct()
+    # A fixed number of partitions: few short names would be merged into one slow Python task.
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    distinct = names.select(text).where(F.col(text).isNotNull()).distinct().repartition(cores * 2, text)
     index = _index(components, "component")
     few = index.select("component", "position").limit(closure_terms + 1).collect()
     if len(few) <= closure_terms:
@@ -129,9 +135,11 @@ def best_component(names: DataFrame, text: str, components: DataFrame, closure_t
 
         @F.pandas_udf(_SCORE)
         def closest(values: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([_closest(v, terms) for v in values], columns=["component", "score", "position"])
+            ready = _prepared(terms)
+            return pd.DataFrame([_closest(v, ready) for v in values], columns=["component", "score", "position"])
 
-        scored = distinct.withColumn("best", closest(text))
+        # Marked so that no filter on the result moves it below the distinct, on to all rows.
+        scored = distinct.withColumn("best", closest.asNondeterministic()(text))
     else:
         chunks = -(-index.count() // _CHUNK_TERMS)
         chunked = index.groupBy(F.pmod(F.xxhash64("component"), F.lit(chunks)).alias("_chunk")).agg(
@@ -140,11 +148,11 @@ def best_component(names: DataFrame, text: str, components: DataFrame, closure_t
 
         @F.pandas_udf(_SCORE)
         def closest_in(values: pd.Series, lists: pd.Series) -> pd.DataFrame:
-            rows = [_closest(v, [(t["component"], t["position"]) for t in terms]) for v, terms in zip(values, lists)]
+            rows = [_closest(v, _prepared([(t["component"], t["position"]) for t in terms])) for v, terms in zip(values, lists)]
             return pd.DataFrame(rows, columns=["component", "score", "position"])
 
         spread = distinct.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
-        each = spread.join(chunked, "_chunk").withColumn("best", closest_in(text, "_terms")).where("best.component is not null")
+        each = spread.join(chunked, "_chunk").withColumn("best", closest_in.asNondeterministic()(text, "_terms")).where("best.component is not null")
         scored = each.groupBy(text).agg(F.min_by("best", F.struct(-F.col("best.score"), F.col("best.position"))).alias("best"))
     flat = scored.where("best.component is not null").select(text, "best.component", "best.score")
     return flat.join(index.select("component", "category"), "component")
@@ -184,7 +192,8 @@ def detect(names: DataFrame, name: str, components: DataFrame, keywords: DataFra
     (from 0.8), shared words, then the thresholds 0.4 / 0.5 / 0.25, else Other.
     Each step sees only the names the steps before it left open.
     """
-    base = names.select(name).distinct().withColumns({"_raw": F.lower(name), "_clean": normalize_name(F.coalesce(name, F.lit("")))})
+    # Every later step starts from the distinct names; they are stored so that the table is read once.
+    base = checkpointed(names.select(name).distinct().withColumns({"_raw": F.lower(name), "_clean": normalize_name(F.coalesce(name, F.lit("")))}))
     index = _index(components, "component").select("component", F.col("category"))
 
     def by(column, out):

@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftwork.session import spread
+
+# Tables whose rows are expensive to work on.
+_TEXT_TABLES = ("pages", "documents")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,4 +30,5 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if name in _TEXT_TABLES else df

@@ -52,6 +52,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_enough(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads no more than it must."""
-    return df.select().limit(limit + 1).count() <= limit
+_SPREAD_BYTES_PER_CORE = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Gives a small text table one task per core.
+
+    A small file often holds a single row group, and with it a single task does
+    all the work on it. Tables with enough bytes for every core stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * _SPREAD_BYTES_PER_CORE else df
