@@ -221,6 +221,7 @@ def detect(names: DataFrame, name: str, components: DataFrame, keywords: DataFra
         name, "_raw", "_clean", F.when(better, F.col("_c_cat")).otherwise(F.col("_r_cat")).alias("_key_cat"),
         F.greatest(F.coalesce("_r_score", F.lit(0.0)), F.coalesce("_c_score", F.lit(0.0))).alias("_key"),
     )
+    scored = checkpointed(scored)
     weak = scored.where("_key < 0.5")
     fuzzy = best_component(weak.where("_clean <> ''"), "_clean", components).select("_clean", F.col("category").alias("_comp_cat"), F.col("score").alias("_comp"))
     unsure = weak.where("_key < 0.4")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """``first`` with the columns of one-row aggregates added to every row."""
-    out = first.withColumn("_one", F.lit(1))
-    return reduce(lambda a, b: a.join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one"), others, out).drop("_one")
+    """``first`` with the columns of one-row aggregates added to every row.
+
+    Each aggregate is a scalar subquery: computed once, joined with nothing.
+    """
+    out = first
+    for other in others:
+        names = out.columns
+        row = other.select(F.struct(*other.columns).alias("row")).scalar()
+        out = out.select(*names, row.alias("_row")).select(*names, *[F.col("_row")[c].alias(c) for c in other.columns])
+    return out

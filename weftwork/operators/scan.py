@@ -129,9 +129,10 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def bounded_samples(df: DataFrame, keys: Sequence[str], value: str, n: int, name: str = "samples") -> DataFrame:
     """Count per group with its ``n`` smallest distinct values, limited before they are collected."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    few = first_rows(df.select(*keys, value).where(F.col(value).isNotNull()).distinct(), keys, [value], n)
+    per_value = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = per_value.groupBy(*keys).agg(F.sum("_n").alias("count"))
+    few = first_rows(per_value.where(F.col(value).isNotNull()), keys, [value], n)
     lists = few.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
     lists = lists.select(*[F.col(k).alias(f"_s_{k}") for k in keys], name)
-    match = [counts[k].eqNullSafe(lists[f"_s_{k}"]) for k in keys]
+    match = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
     return counts.join(lists, match, "left").select(*keys, "count", F.coalesce(name, F.array()).alias(name))

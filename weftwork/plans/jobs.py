@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork import vocab
-from weftwork.functions import buckets, pages as P, urls as U
+from weftwork.functions import buckets, records
+from weftwork.functions import pages as P
+from weftwork.functions import urls as U
 from weftwork.operators import aggregates as A
 from weftwork.operators import extraction, graph, joins, sets, windows
 from weftwork.operators.filters import fetch_advice
 from weftwork.operators.rows import beside
+from weftwork.operators.scan import first_rows
 
 
 def _checks(counts: DataFrame, rules: list[tuple[str, str, Column, Column]], keys: list[str] = ()) -> DataFrame:
@@ -54,11 +57,9 @@ def source_audit(urls: DataFrame, pages: DataFrame, builds: DataFrame, mods: Dat
     profile = A.completeness(A.build_profile(builds, ["source"])).select(
         "source", F.col("total_builds").alias("builds"), "valid_builds", "completeness_score"
     )
-    names = reduce(DataFrame.union, [df.select("source") for df in (urls, pages, builds, mods)]).distinct()
-    out = (
-        names.join(count(urls, "urls"), "source", "left").join(page_audit(pages), "source", "left")
-        .join(profile, "source", "left").join(count(mods, "mods"), "source", "left")
-    )
+    # Each table is read once; what meets here is one row per source and table.
+    both = sets.bag_union(count(urls, "urls"), page_audit(pages), profile, count(mods, "mods"))
+    out = both.groupBy("source").agg(*[F.max(c).alias(c) for c in both.columns if c != "source"])
     numbers = [c for c in out.columns if c not in ("source", "valid_pct", "completeness_score")]
     out = out.fillna(0, numbers)
     c = F.col
@@ -115,40 +116,63 @@ def recommendations(rollup: DataFrame) -> DataFrame:
 
 def extraction_audit(urls: DataFrame, pages: DataFrame, builds: DataFrame, mods: DataFrame, as_of_year: int = 2026) -> DataFrame:
     """Seven checks as rows (check, detail, value, severity); severity ``ok`` is no issue."""
-    parts = []
+    c = F.col
+    required = ["build_id", "source_url", "year", "make", "model"]
+    images = records.image_checks("gallery_images")
+    counted = builds.agg(
+        F.count(F.lit(1)).alias("builds"), *[F.count_if(~A.is_set(f)).alias(f"missing_{f}") for f in required],
+        F.count_if(A.is_set("year") & ~buckets.year_in_range("year", "whole", as_of_year)).alias("invalid_years"),
+        F.count_if(F.size("gallery_images") > 0).alias("with_images"),
+        *[F.coalesce(F.sum(images[f]), F.lit(0)).alias(f"images_{f}") for f in ("total", "invalid", "placeholder")],
+    )
+    mods_all = sets.all_mods(mods, builds) if "modifications" in builds.columns else mods
+    totals = beside(
+        counted, urls.agg(F.count(F.lit(1)).alias("urls")), pages.agg(F.count(F.lit(1)).alias("pages")), _id_counts(pages, builds),
+        A.mods_quality(mods_all), joins.accuracy(joins.verify_in_page(builds, pages, ["year", "make", "model"])),
+    )
 
-    def add(df, check, detail, value, severity):
-        parts.append(df.select(F.lit(check).alias("check"), detail.alias("detail"), value.cast("double").alias("value"), severity.alias("severity")))
+    def pct(part, whole):
+        return F.coalesce(F.try_divide(part, whole) * 100, F.lit(0.0))
 
-    totals = beside(
-        urls.agg(F.count(F.lit(1)).alias("urls")), pages.agg(F.count(F.lit(1)).alias("pages")), builds.agg(F.count(F.lit(1)).alias("builds")),
+    def flag(test, severity):
+        return F.when(test, severity).otherwise("ok")
+
+    coverage_pct = pct(c("with_images"), c("builds"))
+    scrape, extract_ = F.try_divide("pages", "urls") * 100, F.try_divide("builds", "pages") * 100
+    rules = [("completeness", s, c(s), flag(c(s) == 0, "critical")) for s in ("urls", "pages", "builds")]
+    missing_pct = pct(c("missing"), c("left_ids"))
+    rules += [
+        ("integrity", "pages_without_build", c("missing"), F.when(missing_pct > 20, "critical").when(missing_pct > 5, "warning").otherwise("ok")),
+        ("integrity", "builds_without_page", c("orphans"), flag(c("orphans") > 0, "warning")),
+    ]
+    rules += [("quality", f"missing_{f}", c(f"missing_{f}"), buckets.severity_above(pct(c(f"missing_{f}"), c("builds")))) for f in required]
+    rules += [
+        ("quality", "duplicate_ids", c("duplicates"), flag(c("duplicates") > 0, "critical")),
+        ("quality", "invalid_years", c("invalid_years"), flag(c("invalid_years") > 0, "warning")),
+        ("mods", "missing_name", c("missing_name"), flag(c("missing_name") > c("total_mods") * 0.1, "warning")),
+        ("mods", "missing_category", c("missing_category"), flag(c("missing_category") > c("total_mods") * 0.3, "warning")),
+        ("mods", "invalid_category", c("invalid_category"), flag(c("invalid_category") > 0, "info")),
+        ("images", "invalid", c("images_invalid"), flag(c("images_invalid") > c("images_total") * 0.1, "warning")),
+        ("images", "placeholder", c("images_placeholder"), flag(c("images_placeholder") > c("images_total") * 0.2, "warning")),
+        ("images", "coverage_pct", F.round(coverage_pct, 1), flag(coverage_pct < 50, "info")),
+        ("accuracy", "accuracy_pct", c("accuracy_pct"), c("severity")),
+        ("coverage", "scrape_pct", F.round(scrape, 1), buckets.severity_below(scrape)),
+        ("coverage", "extract_pct", F.round(extract_, 1), buckets.severity_below(extract_)),
+    ]
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("check"), F.lit(d).alias("detail"), v.cast("double").alias("value"), s.alias("severity")) for k, d, v, s in rules
+    ])
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _id_counts(pages: DataFrame, builds: DataFrame) -> DataFrame:
+    """Ids of pages against ids of builds, and repeated build ids, from one grouping of each."""
+    a = pages.select(F.col("build_id").alias("_a")).where("_a is not null").distinct()
+    b = builds.where("build_id is not null").groupBy(F.col("build_id").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    return a.join(b, F.col("_a") == F.col("_b"), "full_outer").agg(
+        F.count("_a").alias("left_ids"), F.count_if(F.col("_b").isNull()).alias("missing"), F.count_if(F.col("_a").isNull()).alias("orphans"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
     )
-    for stage in ("urls", "pages", "builds"):
-        add(totals, "completeness", F.lit(stage), F.col(stage), F.when(F.col(stage) == 0, "critical").otherwise("ok"))
-    matched = joins.reconcile(pages, builds, "build_id")
-    add(matched, "integrity", F.lit("pages_without_build"), F.col("missing"), F.col("missing_severity"))
-    add(matched, "integrity", F.lit("builds_without_page"), F.col("orphans"), F.when(F.col("orphans") > 0, "warning").otherwise("ok"))
-    missing = A.missing_fields(builds, ["build_id", "source_url", "year", "make", "model"])
-    add(missing, "quality", F.concat(F.lit("missing_"), F.col("field")), F.col("missing"), F.col("severity"))
-    repeated = A.duplicates(builds.where("build_id is not null"), "build_id")
-    add(repeated, "quality", F.lit("duplicate_ids"), F.col("duplicates"), F.when(F.col("duplicates") > 0, "critical").otherwise("ok"))
-    years = builds.agg(F.count_if(A.is_set("year") & ~buckets.year_in_range("year", "whole", as_of_year)).alias("n"))
-    add(years, "quality", F.lit("invalid_years"), F.col("n"), F.when(F.col("n") > 0, "warning").otherwise("ok"))
-    words = sets.all_mods(mods, builds) if "modifications" in builds.columns else mods
-    q, half = A.mods_quality(words), F.col("total_mods")
-    add(q, "mods", F.lit("missing_name"), F.col("missing_name"), F.when(F.col("missing_name") > half * 0.1, "warning").otherwise("ok"))
-    add(q, "mods", F.lit("missing_category"), F.col("missing_category"), F.when(F.col("missing_category") > half * 0.3, "warning").otherwise("ok"))
-    add(q, "mods", F.lit("invalid_category"), F.col("invalid_category"), F.when(F.col("invalid_category") > 0, "info").otherwise("ok"))
-    img = A.image_profile(builds)
-    add(img, "images", F.lit("invalid"), F.col("invalid_images"), F.when(F.col("invalid_images") > F.col("total_images") * 0.1, "warning").otherwise("ok"))
-    add(img, "images", F.lit("placeholder"), F.col("placeholder_images"), F.when(F.col("placeholder_images") > F.col("total_images") * 0.2, "warning").otherwise("ok"))
-    add(img, "images", F.lit("coverage_pct"), F.col("image_coverage_pct"), F.when(F.col("image_coverage_pct") < 50, "info").otherwise("ok"))
-    acc = joins.accuracy(joins.verify_in_page(builds, pages, ["year", "make", "model"]))
-    add(acc, "accuracy", F.lit("accuracy_pct"), F.col("accuracy_pct"), F.col("severity"))
-    cov = A.coverage(totals)
-    add(cov, "coverage", F.lit("scrape_pct"), F.col("scrape_pct"), F.col("scrape_severity"))
-    add(cov, "coverage", F.lit("extract_pct"), F.col("extract_pct"), F.col("extract_severity"))
-    return reduce(DataFrame.unionByName, parts)
 
 
 def audit_passed(issues: DataFrame) -> DataFrame:
@@ -381,8 +405,7 @@ def build_graph(builds: DataFrame, source: str = "source") -> tuple[DataFrame, D
 def link_patterns(pages: DataFrame, top: int = 15) -> DataFrame:
     """Path patterns of internal links with true counts and three examples each."""
     links = pages.select(F.explode(P.internal_links("html", "url")).alias("link"))
-    tagged = links.withColumn("pattern", U.path_template(U.path("link")))
-    counts = tagged.groupBy("pattern").agg(F.count(F.lit(1)).alias("count"))
-    best = counts.orderBy(F.desc("count"), "pattern").limit(top)
-    examples = A.bounded_samples(tagged.join(F.broadcast(best.select("pattern")), "pattern", "left_semi"), ["pattern"], "link", 3, "examples")
-    return best.join(examples.drop("count"), "pattern")
+    per_link = links.groupBy(U.path_template(U.path("link")).alias("pattern"), "link").agg(F.count(F.lit(1)).alias("n"))
+    best = per_link.groupBy("pattern").agg(F.sum("n").alias("count")).orderBy(F.desc("count"), "pattern").limit(top)
+    few = first_rows(per_link, ["pattern"], ["link"], 3).groupBy("pattern").agg(F.array_sort(F.collect_list("link")).alias("examples"))
+    return best.join(few, "pattern")
