@@ -143,6 +143,9 @@ def test_graph_round_trip(spark, tmp_path):
     assert spark.table("source_summary").first().urls_found == 4
     assert spark.table("entity_relationships").first().to_entity == "B"
     assert graph.touching(r, e.where("id = 'b'")).count() == 1
+    notes = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("zz", 1, "n")], "id string, at int, note string")
+    assert graph.add_observations(e, notes).where("id = 'a'").first().observations == ["o", "x", "y"]
+    assert graph.observation_rows(e, notes).where("id = 'a'").count() == 3
 
 
 def test_appends(spark, tmp_path):

@@ -125,9 +125,21 @@ def append_entities(entities: DataFrame, new: DataFrame) -> DataFrame:
     return entities.unionByName(new.join(entities.select("id"), "id", "left_anti"), allowMissingColumns=True)
 
 
+def observation_rows(entities: DataFrame, notes: DataFrame) -> DataFrame:
+    """Observations as rows (id, at, note): those entities have, then new notes of known entities.
+
+    The form for entities with very many notes; no group is collected.
+    """
+    held = entities.select("id", F.posexplode("observations").alias("position", "note")).select("id", F.lit(None).cast(notes.schema["at"].dataType).alias("at"), "position", "note")
+    new = notes.join(entities.select("id"), "id", "left_semi").select("id", "at", F.lit(None).cast("int").alias("position"), "note")
+    return held.unionByName(new)
+
+
 def add_observations(entities: DataFrame, notes: DataFrame) -> DataFrame:
-    """Notes (id, at, note) appended in order to the observations of known entities."""
-    # Notes of one entity are an attribute of that entity and end up in its row by definition.
+    """Notes (id, at, note) appended in order to the arrays of known entities.
+
+    An entity's array is one value; use ``observation_rows`` where it would not fit one.
+    """
     collected = notes.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "note"))), lambda x: x["note"]).alias("_notes"))
     out = entities.join(collected, "id", "left")
     return out.withColumn("observations", F.concat("observations", F.coalesce("_notes", F.array().cast("array<string>")))).select(*entities.columns)

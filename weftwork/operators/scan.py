@@ -19,6 +19,8 @@ from weftwork.session import checkpointed
 
 # Rows of one group that a single task may sort.
 GROUP_ROWS = 5_000_000
+# Spark's own bound for limiting groups before the shuffle.
+_GROUP_LIMIT = 1000
 _SEGMENT = "_segment"
 _RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -32,6 +34,11 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return counts.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
 
 
+def is_hot(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> bool:
+    """Is some group too large for one task?"""
+    return largest_group(df, list(keys)) > group_rows
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,14 +46,16 @@ def running(
     exprs: dict[str, tuple[str, Column]],
     group_rows: int = GROUP_ROWS,
     segments: int | None = None,
+    hot: bool | None = None,
 ) -> DataFrame:
     """Adds running aggregates, current row included: ``{name: ("sum"|"max"|"min", column)}``.
 
-    ``order`` must be total within a group (end it with a unique column).
+    ``order`` must be total within a group (end it with a unique column). A
+    caller that has asked ``is_hot`` already passes the answer.
     """
     keys = list(keys)
     order = order_columns(order)
-    if largest_group(df, keys) <= group_rows:
+    if not (is_hot(df, keys, group_rows) if hot is None else hot):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: _RUNNING[op](c).over(w) for n, (op, c) in exprs.items()})
     return _segmented(df, keys, order, exprs, segments)
@@ -89,11 +98,11 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, name: str =
     return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))}, **kw)
 
 
-def previous(df: DataFrame, keys: Sequence[str], order: Sequence, columns: dict[str, str], group_rows: int = GROUP_ROWS, segments: int | None = None) -> DataFrame:
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence, columns: dict[str, str], group_rows: int = GROUP_ROWS, segments: int | None = None, hot: bool | None = None) -> DataFrame:
     """Adds the previous row's values: ``{new name: column}``, null on the first row of a group."""
     keys = list(keys)
     order = order_columns(order)
-    if largest_group(df, keys) <= group_rows:
+    if not (is_hot(df, keys, group_rows) if hot is None else hot):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     # Position p meets position p - 1: one equi-join, no group in one task.
@@ -110,9 +119,11 @@ def previous(df: DataFrame, keys: Sequence[str], order: Sequence, columns: dict[
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int, name: str = "rank") -> DataFrame:
     """The first ``n`` rows per group.
 
-    Spark limits each group before the shuffle (``WindowGroupLimit``), so a hot
-    group sends at most ``n`` rows per task.
+    Up to ``_GROUP_LIMIT`` rows Spark limits each group before the shuffle
+    (``WindowGroupLimit``), so a hot group sends at most ``n`` rows per task.
     """
+    if n > _GROUP_LIMIT:
+        return row_numbers(df, keys, order, name).where(F.col(name) <= n)
     w = Window.partitionBy(*keys).orderBy(*order_columns(order))
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
 

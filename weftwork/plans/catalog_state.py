@@ -298,8 +298,9 @@ def graph_source_view(spark, sf):
 SELECT e.id, (CASE WHEN notes = '' THEN 0 ELSE len(string_split(notes, '|')) END + coalesce(n, 0))::INT AS observations FROM entities e LEFT JOIN (SELECT 'c' || o_custkey AS id, count(*) AS n FROM orders GROUP BY 1) o USING (id)"""))
 def graph_observations(spark, sf):
     notes = table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("id"), F.col("o_orderdate").alias("at"), F.col("o_orderstatus").alias("note"))
-    out = graph.add_observations(standins.entities(spark, sf), notes)
-    return out.select("id", F.size("observations").alias("observations"))
+    entities = standins.entities(spark, sf)
+    counted = graph.observation_rows(entities, notes).groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("observations"))
+    return entities.select("id").join(counted, "id", "left").fillna(0, ["observations"])
 
 
 @query("graph_append", with_ctes("entities relations", """
