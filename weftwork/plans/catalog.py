@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftwork.plans import catalog_events, catalog_pages, catalog_state, catalog_streams, catalog_tables, catalog_urls  # noqa: F401
+from weftwork.plans import catalog_events, catalog_io, catalog_pages, catalog_state, catalog_streams, catalog_tables, catalog_urls  # noqa: F401
 from weftwork.plans.registry import ORACLES, QUERIES
 
 

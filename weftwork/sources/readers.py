@@ -241,20 +241,26 @@ def log_tails(log: DataFrame, keys: list[str], n: int, ts: str = "timestamp") ->
     return first_rows(log, keys, [F.col(ts).desc()], n)
 
 
+_ENTITY = "struct<id:string,type:string,name:string,observations:array<string>,properties:string,createdAt:string,updatedAt:string>"
+_RELATION = "struct<id:string,`from`:string,`to`:string,type:string,properties:string,createdAt:string>"
+GRAPH = f"entities map<string,{_ENTITY}>, relations array<{_RELATION}>"
+
+
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Entities (a map by id) and relations (a list) of a stored graph document."""
-    entity = "struct<id:string,type:string,name:string,observations:array<string>,properties:string,createdAt:string,updatedAt:string>"
-    relation = "struct<id:string,`from`:string,`to`:string,type:string,properties:string,createdAt:string>"
-    raw = spark.read.schema(f"entities map<string,{entity}>, relations array<{relation}>").option("multiLine", True).json(path)
-    e = raw.select(F.explode("entities").alias("key", "e")).select(
+    """Entities (a map by id) and relations (a list) of stored graph documents."""
+    return graph_tables(spark.read.schema(GRAPH).option("multiLine", True).json(path))
+
+
+def graph_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    entities = documents.select(F.explode("entities").alias("key", "e")).select(
         "e.id", "e.type", "e.name", "e.observations", "e.properties",
         F.try_to_timestamp("e.createdAt").alias("created_at"), F.try_to_timestamp("e.updatedAt").alias("updated_at"),
     )
-    r = raw.select(F.explode("relations").alias("r")).select(
+    relations = documents.select(F.explode("relations").alias("r")).select(
         "r.id", F.col("r.from").alias("from_id"), F.col("r.to").alias("to_id"), F.col("r.type").alias("relation_type"),
         "r.properties", F.try_to_timestamp("r.createdAt").alias("created_at"),
     )
-    return e, r
+    return entities, relations
 
 
 def api_items(payloads: DataFrame, column: str, base: str | None = None) -> DataFrame:
