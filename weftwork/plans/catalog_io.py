@@ -86,7 +86,8 @@ def io_url_lists(spark, sf):
     path = _home(spark)
     urls = standins.log(spark, sf).select("source", "url").distinct()
     envelopes = writers.url_envelopes(urls)
-    envelopes.select(F.to_json(F.struct("urls", "totalCount")).alias("value"), F.col("source").alias("folder")).write.partitionBy("folder").text(path)
+    rows = envelopes.select(F.to_json(F.struct("urls", "totalCount")).alias("value"), F.col("source").alias("folder"))
+    rows.hint("rebalance", "folder").write.partitionBy("folder").text(path)
     return readers.read_urls(spark, f"{path}/*/*.txt").select("url", F.regexp_replace("source", "^folder=", "").alias("source"))
 
 

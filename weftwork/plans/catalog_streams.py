@@ -30,11 +30,16 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _run(stream: DataFrame, mode: str = "append") -> DataFrame:
     spark = stream.sparkSession
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     streams.use_rocksdb(spark)
     home = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = stream.schema
-    streams.write_available(stream, f"{home}/out", f"{home}/checkpoint", mode)
+    # A stream keeps its number of state partitions for life: no more of them than cores can use.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        streams.write_available(stream, f"{home}/out", f"{home}/checkpoint", mode)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return spark.read.schema(schema).parquet(f"{home}/out")
 
 

@@ -32,9 +32,14 @@ def export_query(spark: SparkSession, query: str, path: str, fmt: str | None = N
     export(spark.sql(query, args=params) if params else spark.sql(query), path, fmt)
 
 
+def _by_folder(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one folder together before a partitioned write: few files per folder, and Spark splits the large folders."""
+    return df.hint("rebalance", *columns)
+
+
 def export_urls_by_source(urls: DataFrame, path: str) -> None:
     """One CSV folder per source."""
-    urls.write.mode("overwrite").partitionBy("source").option("header", True).csv(path)
+    _by_folder(urls, "source").write.mode("overwrite").partitionBy("source").option("header", True).csv(path)
 
 
 def save_urls(urls: DataFrame, path: str, source: str, as_of: Column | None = None) -> None:
@@ -62,7 +67,7 @@ def url_envelopes(urls: DataFrame, batch: int = 100_000) -> DataFrame:
 
 
 def write_envelopes(urls: DataFrame, path: str) -> None:
-    url_envelopes(urls).write.mode("overwrite").partitionBy("source").json(path)
+    _by_folder(url_envelopes(urls), "source").write.mode("overwrite").partitionBy("source").json(path)
 
 
 def sorted_urls(urls: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def append_progress(records: DataFrame, path: str) -> None:
 def append_events(events: DataFrame, path: str, ts: str = "timestamp") -> None:
     """Typed events, laid out by type and day so that readers can skip files."""
     dated = events.withColumn("date", F.to_date(ts))
-    dated.write.mode("append").partitionBy("event_type", "date").parquet(path)
+    _by_folder(dated, "event_type", "date").write.mode("append").partitionBy("event_type", "date").parquet(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:
