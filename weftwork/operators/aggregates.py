@@ -370,18 +370,18 @@ def top_with_unique(df: DataFrame, column: str, n: int = 5) -> DataFrame:
 
 def mods_profile(mods: DataFrame, builds: DataFrame | None = None) -> DataFrame:
     """Named, branded and categorised mods, repeats and orphans."""
-    keyed = mods.groupBy("build_id", "name", "category", "brand").agg(F.count(F.lit(1)).alias("n"))
-    weight = F.col("n")
+    branded = F.count_if(~is_garbage("brand")).alias("b")
+    # One row per repeated mod: its size gives the totals, the number of rows the repeats.
+    keyed = mods.groupBy("build_id", "name", "category").agg(F.count(F.lit(1)).alias("n"), branded)
 
     def total(test):
-        return F.coalesce(F.sum(F.when(test, weight)), F.lit(0))
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
 
-    named, branded, categorised = ~is_garbage("name"), ~is_garbage("brand"), is_set("category")
+    named, categorised = ~is_garbage("name"), is_set("category")
     known = F.lower(F.trim("category")).isin(vocab.AUDIT_CATEGORIES)
     out = keyed.agg(
-        total(F.lit(True)).alias("total_mods"), total(named).alias("with_name"), total(branded).alias("with_brand"),
-        total(categorised).alias("with_category"), total(categorised & known).alias("with_valid_category"),
-        F.count_distinct(F.struct("build_id", "name", "category")).alias("_distinct"),
+        total(F.lit(True)).alias("total_mods"), total(named).alias("with_name"), F.coalesce(F.sum("b"), F.lit(0)).alias("with_brand"),
+        total(categorised).alias("with_category"), total(categorised & known).alias("with_valid_category"), F.count(F.lit(1)).alias("_distinct"),
     )
     out = out.withColumns({"duplicate_mods": F.col("total_mods") - F.col("_distinct"), "valid_mods": F.least("with_name", "with_category")}).drop("_distinct")
     if builds is not None:
