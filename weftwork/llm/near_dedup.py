@@ -120,7 +120,8 @@ def _across(tested: DataFrame, sets: DataFrame, roots: DataFrame, percent: int)
     Write D(x) for the shingles that x and c do not share. x and y are linked if and only if |D(x) ^ D(y)| is at most
     k (|x| + |y|), with k = (100 - percent) / (100 + percent). For f, |D(f)| > k (|f| + |c|). So f and p are linked only if
     D(f) and D(p) share more than (|D(p)| + k (|c| - |p|)) / 2 shingles, and then p's rarest |D(p)| - that number
-    shingles hold one that f has. Only such pairs are compared, which is a small part of the pairs of a star.
+    shingles hold one that f has. With both sizes known, the same holds for both sides and the number they must share. Only
+    such pairs are compared, which is a small part of the pairs of a star.
     """
     k = (100 - percent) / (100 + percent)
     open_stars = tested.groupBy("a").agg(F.count("*").alias("members"), F.min("linked").alias("all_linked")).where("members > 1 AND NOT all_linked").select("a")
@@ -129,13 +130,16 @@ def _across(tested: DataFrame, sets: DataFrame, roots: DataFrame, percent: int)
     apart = apart.select("a", "b", "linked", F.size("left").alias("c"), F.size("right").alias("p"), differ.alias("d")).withColumn("size", F.size("d"))
     least = F.greatest(F.lit(1), F.floor((F.col("size") + k * (F.col("c") - F.col("p"))) / 2 - 1e-6) + 1)
     known = roots.select(F.col("node").alias("b"), "root")
-    items = apart.withColumn("prefix", F.col("size") - least + 1).select("a", "b", "linked", "prefix", F.explode("d").alias("e"))
+    items = apart.withColumn("prefix", F.col("size") - least + 1).select("a", "b", "linked", "prefix", "size", "p", F.explode("d").alias("e"))
     items = stored(items.join(known, "b", "left").withColumn("root", F.coalesce("root", "b")))
     often = items.groupBy("a", "e").agg(F.count("*").alias("often"))
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "e"))
-    rare = items.join(often, ["a", "e"]).withColumn("rank", rank).where("rank <= prefix").select("a", "e", F.col("b").alias("p"), F.col("root").alias("p_root"))
-    apart = items.where("NOT linked").select("a", "e", F.col("b").alias("f"), F.col("root").alias("f_root"))
-    return apart.join(rare, ["a", "e"]).where("f_root != p_root").select(F.least("f", "p").alias("a"), F.greatest("f", "p").alias("b")).distinct()
+    ranked = items.join(often, ["a", "e"]).withColumn("rank", rank)
+    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("b", "root", "rank", "size", "p")]
+    rare, far = ranked.where("rank <= prefix").select("a", "e", *side("p")), ranked.where("NOT linked").select("a", "e", *side("f"))
+    share = F.greatest(F.lit(1), F.ceil((F.col("f_size") + F.col("p_size") - k * (F.col("f_p") + F.col("p_p"))) / 2 - 1e-6))
+    meet = (far["a"] == rare["a"]) & (far["e"] == rare["e"]) & (F.col("f_root") != F.col("p_root")) & (F.col("p_rank") <= F.col("p_size") - share + 1) & (F.col("f_rank") <= F.col("f_size") - share + 1)
+    return far.join(rare, meet).select(F.least("f_b", "p_b").alias("a"), F.greatest("f_b", "p_b").alias("b")).distinct()
 
 
 def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
