@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.llm import decontamination, language_id, line_dedup, near_dedup, sentencepiece_codec
+from weftwork.llm import decontamination, fingerprints, language_id, line_dedup, near_dedup, sentencepiece_codec, token_files
 from weftwork.llm.common import held_out
 
 
@@ -16,11 +16,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = token_files.write(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return token_files.read(spark.read.parquet(path), ids=False)
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, folder, "documents"), percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = language_id.train(docs.where(~held_out()).select("text", "lang"))
@@ -45,7 +54,9 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_files": op3_token_files,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_fingerprints": op5_fingerprints,
     "op6_language_id": op6_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_decontamination": op9_decontamination,
