@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.llm import decontamination, fingerprints, language_id, line_dedup, near_dedup, sentencepiece_codec, token_files
+from weftwork.llm import decontamination, fingerprints, language_id, licences, line_dedup, near_dedup, quality, sentencepiece_codec, token_files, toxicity
 from weftwork.llm.common import held_out
 
 
@@ -16,6 +16,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs, model, threshold=0.7).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_table(spark, folder, "documents"), licences.default_templates(spark), percent=80)
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = token_files.write(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
     return token_files.read(spark.read.parquet(path), ids=False)
@@ -37,6 +47,12 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages", "proportions")
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, folder, "labels"))
+    return quality.score(docs, model, threshold=0.5).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = sentencepiece_codec.encode(_table(spark, folder, "documents").select("doc_id", "text"), path)
@@ -54,16 +70,33 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_licences": op2_licences,
     "op3_token_files": op3_token_files,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_fingerprints": op5_fingerprints,
     "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
 
+_LICENCES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.TEMPLATES)
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOW + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
+    "op2_licences": f"""
+WITH t AS (SELECT licence, {_WORDS.format("text")} AS w FROM (VALUES {_LICENCES}) AS x(licence, text)),
+k AS (SELECT *, least(5, len(w)) AS k FROM t),
+ts AS (SELECT DISTINCT licence, k, array_to_string(w[i:i + k - 1], ' ') AS h FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM k)),
+c AS (SELECT licence, count(*) AS m, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS s FROM ts GROUP BY 1),
+d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, k, i - 1 AS place, array_to_string(w[i:i + k - 1], ' ') AS h FROM (SELECT d.*, n.k, unnest(range(1, len(w) - n.k + 2)) AS i FROM d, (SELECT DISTINCT k FROM k) n WHERE len(w) >= n.k)),
+hit AS (SELECT doc_id, ts.licence, m, place, ds.h, unnest([CAST(floor(place / s) AS BIGINT), CAST(floor(place / s) AS BIGINT) - 1]) AS win FROM ds JOIN ts USING (k, h) JOIN c USING (licence)),
+held AS (SELECT doc_id, licence, m, win, count(DISTINCT h) AS n, min(place) AS first FROM hit GROUP BY ALL HAVING count(DISTINCT h) * 100 >= m * 80)
+SELECT doc_id, licence, max(n / m) AS containment, min(first) AS first_word, count(*) AS windows FROM held GROUP BY ALL""",
     "op9_decontamination": r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
