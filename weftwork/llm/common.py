@@ -39,9 +39,14 @@ def widened(df: DataFrame, fields: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Marks a stored table for broadcast if it has at most ``rows`` rows; a larger one is joined by shuffling."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int, weight: Column | None = None) -> DataFrame:
+    """Marks a stored table for broadcast if it has at most ``rows`` rows; a larger one is joined by shuffling.
+
+    ``weight``: what a row counts, where rows hold arrays.
+    """
+    if weight is None:
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= rows else df
 
 
 def document_key(text: str = "text", doc_id: str = "doc_id") -> list[Column]:

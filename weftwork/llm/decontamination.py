@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from weftwork.llm.common import document_key, same_document, small, stored, word_array
 
 BROADCAST_TERMS = 1_000_000
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def phrases(items: DataFrame, size: int = 10) -> DataFrame:
@@ -58,7 +58,7 @@ def exact_matches(docs: DataFrame, sought: DataFrame) -> DataFrame:
     both = shifted.groupBy("_id", "_text", "start", "phrase").agg(F.first("needed").alias("needed"), F.count_distinct("offset").alias("found")).where("found = needed")
     meant = both.join(sought.select("phrase", "words"), "phrase")
     asked = stored(meant.groupBy("_id", "_text").agg(F.collect_list(F.struct("start", "phrase", "words")).alias("asked")))
-    few = small(asked, BROADCAST_ROWS)
+    few = small(asked, BROADCAST_ROWS, F.size("asked"))
     keyed = docs.select(*document_key(), F.col("text").alias("_words"))
     words = keyed.join(few, same_document(keyed, few)).select(few["_id"], few["_text"], "asked", word_array(F.col("_words")).alias("w"))
     true = F.filter("asked", lambda a: F.slice(F.col("w"), a["start"] + 1, F.size(a["words"])) == a["words"])
