@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are the positives; a sample of all texts, toxic ones among them, is the unlabelled set. A linear
-classifier over the presence of words minimises the class-prior-corrected risk
+classifier over the presence of words and word beginnings minimises the class-prior-corrected risk
 prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]); when the second part falls below zero, its gradient is
 reversed, so that the classifier cannot fit the positives hidden in the unlabelled set. The labels' zeros are used for the
 prior alone.
@@ -28,8 +28,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> set[str]:
-    """Distinct runs of letters, lower-cased."""
-    return set(_WORD.findall(text.lower())) if text else set()
+    """Distinct runs of letters, lower-cased, and their beginnings of five and six letters, marked by a hyphen."""
+    found = set(_WORD.findall(text.lower())) if text else set()
+    return found | {w[:5] + "-" for w in found if len(w) > 5} | {w[:6] + "-" for w in found if len(w) > 6}
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     counts = sample.mapInArrow(each, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     p, u = F.col("p") / total.p, F.col("u") / total.u
     z = (p - u) / F.sqrt((p * (1 - p) + 1 / total.p) / total.p + (u * (1 - u) + 1 / total.u) / total.u)
-    top = counts.where("p + u >= 5").select("word", z.alias("z")).where(F.abs("z") >= SURE).orderBy(F.abs("z").desc(), "word").limit(WORDS).collect()
+    top = counts.where("p + u >= 5").select("word", z.alias("z")).where(F.col("z") >= SURE).orderBy(F.col("z").desc(), "word").limit(WORDS).collect()
     places = {r.word: i for i, r in enumerate(top)}
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
