@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +76,18 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(ascii_lower(text), F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices whose ``column`` holds about ``size`` bytes (or list items); a longer row stands alone."""
+    for batch in batches:
+        values = batch.column(batch.schema.get_field_index(column))
+        lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        group = np.cumsum(np.asarray(pc.fill_null(lengths, 0)).astype(np.int64)) // size
+        starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            if b > a or not batch.num_rows:
+                yield batch.slice(a, b - a)
+
+
 def blank_words(text: str | None) -> list[bytes]:
     """Words between ASCII blanks (space, tab to carriage return), lower-cased A-Z, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(_LOWER_BYTES).split() if text else []

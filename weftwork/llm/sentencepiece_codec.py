@@ -16,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from weftwork.llm.common import widened
+from weftwork.llm.common import parts, widened
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 400_000
-CELLS = 4_000_000
+CELLS = 1_000_000
+TEXT_BYTES = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 _TOP = np.uint64(44)
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -214,7 +215,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text", TEXT_BYTES):
             found = encode_texts(batch.column(batch.schema.get_field_index("text")).to_pylist(), _loaded(path))
             sizes = np.array([len(x) // 4 for x in found], np.int64)
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
@@ -228,9 +229,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of ``ids``, added to all rows; null ids give null. A column of that name is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m = _loaded(path)
-            texts = [decode_ids(x, m) for x in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
+        m = _loaded(path)
+        for batch in parts(batches, "ids", TEXT_BYTES):
+            texts = [decode_ids(x.values.to_pylist() if x.is_valid else None, m) for x in batch.column(batch.schema.get_field_index("ids"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return _with(encoded.drop("decoded"), "decoded string", run)
