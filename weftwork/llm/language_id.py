@@ -15,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import widened
+from weftwork.llm.common import parts, widened
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 1000
 CHUNK = 200_000
+TEXT_BYTES = 2_000_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +70,7 @@ def train(rows: DataFrame, smoothing: float = 0.5) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in parts(batches, "text", TEXT_BYTES):
             found: dict[int, list[np.ndarray]] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 found.setdefault(place[lang], []).append(grams(text))

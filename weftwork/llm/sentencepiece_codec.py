@@ -20,9 +20,9 @@ from weftwork.llm.common import parts, widened
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 400_000
-CELLS = 1_000_000
-TEXT_BYTES = 1_000_000
+CACHED_WORDS = 250_000
+CELLS = 2_000_000
+TEXT_BYTES = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
 _TOP = np.uint64(44)
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")

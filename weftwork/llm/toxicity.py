@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import held_out, widened
+from weftwork.llm.common import held_out, parts, widened
 
 POSITIVES = 20_000
 UNLABELLED = 40_000
 WORDS = 2000
 SURE = 3.0
+TEXT_BYTES = 4_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -97,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     sample = texts.join(F.broadcast(chosen), "doc_id").select("text", F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("u", F.lit(0)).alias("u"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text", TEXT_BYTES):
             found: dict[str, list[int]] = {}
             for text, p, u in zip(*(c.to_pylist() for c in batch.columns)):
                 for w in words(text):
