@@ -74,9 +74,9 @@ def train(rows: DataFrame, smoothing: float = 0.5) -> Model:
             found: dict[int, list[np.ndarray]] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 found.setdefault(place[lang], []).append(grams(text))
-            for lang, parts in found.items():
+            for lang, each in found.items():
                 own = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                own += np.bincount(np.concatenate(parts), minlength=BUCKETS)
+                own += np.bincount(np.concatenate(each), minlength=BUCKETS)
         for lang, own in total.items():
             used = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), lang, np.int32)), pa.array(used.astype(np.int32)), pa.array(own[used])], ["lang", "gram", "n"])
