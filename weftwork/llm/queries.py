@@ -55,9 +55,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_codec.encode(_table(spark, folder, "documents").select("doc_id", "text"), path)
-    decoded = sentencepiece_codec.decode(coded, path)
-    return decoded.select("doc_id", "ids", "n_tokens", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+    coded = sentencepiece_codec.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, verify=True)
+    return coded.select("doc_id", "ids", "n_tokens", "round_trip")
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -207,22 +207,28 @@ def _with(base: DataFrame, fields: str, run) -> DataFrame:
     return base.mapInArrow(run, widened(base, fields))
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, verify: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array<int>) and ``n_tokens`` added to all rows; columns of those names are replaced.
 
     ``path`` is a model file that every executor has. Only ``text`` is read, whole; null and empty texts have no ids.
-    Repeated rows get equal ids; an empty table stays empty. A literal U+2581 reads as a blank, as SentencePiece has it.
+    With ``verify``, the ids are decoded again at once, and ``round_trip`` tells whether that gives the text (null: the
+    empty one). Repeated rows get equal ids; an empty table stays empty. A literal U+2581 reads as a blank, as
+    SentencePiece has it, and its round trip is false.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _loaded(path)
         for batch in parts(batches, "text", TEXT_BYTES):
-            found = encode_texts(batch.column(batch.schema.get_field_index("text")).to_pylist(), _loaded(path))
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            found = encode_texts(texts, m)
             sizes = np.array([len(x) // 4 for x in found], np.int64)
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(sizes)], [*batch.schema.names, "ids", "n_tokens"])
+            same = [pa.array([decode_ids(np.frombuffer(x, "<i4").tolist(), m) == (t or "") for x, t in zip(found, texts)], pa.bool_())] if verify else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(sizes), *same], [*batch.schema.names, "ids", "n_tokens"] + ["round_trip"] * verify)
 
-    return _with(docs.drop("ids", "n_tokens"), "ids array<int>, n_tokens long", run)
+    gone = ["ids", "n_tokens"] + ["round_trip"] * verify
+    return _with(docs.drop(*gone), "ids array<int>, n_tokens long" + ", round_trip boolean" * verify, run)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
