@@ -47,8 +47,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the piece ids of the text, their number, and whether they decode to the text."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs.select("doc_id", "text", "lang", "source"), path), path)
-    return coded.select("doc_id", "lang", "source", "ids", "n_tokens", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+    coded = sentencepiece_codec.encode(docs.select("doc_id", "text", "lang", "source"), path, verify=True)
+    return coded.select("doc_id", "lang", "source", "ids", "n_tokens", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
