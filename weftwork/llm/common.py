@@ -86,6 +86,8 @@ def parts(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator
         for a, b in zip(starts, starts[1:]):
             if b > a or not batch.num_rows:
                 yield batch.slice(a, b - a)
+        del batch, values
+        pa.default_memory_pool().release_unused()
 
 
 def blank_words(text: str | None) -> list[bytes]:

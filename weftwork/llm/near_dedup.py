@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import blank_words, mixed, same_document, sequence_hash, shingle_set, small, stored, widened
+from weftwork.llm.common import blank_words, mixed, parts, same_document, sequence_hash, shingle_set, small, stored, widened
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 BROADCAST_ROWS = 500_000
+TEXT_BYTES = 4_000_000
 
 
 def _picks(first: int, attempts: int) -> np.ndarray:
@@ -62,23 +63,27 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return sequence_hash([_BAND, *rows.T])
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, high, low, signed = [], [], [], []
-        for text in batch.column("text").to_pylist():
-            found = shingle_set(blank_words(text))
-            n.append(len(found))
-            if not len(found):
-                high.append(None), low.append(None), signed.append(None)
-                continue
-            digest = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
-            high.append(int(digest[0])), low.append(int(digest[1])), signed.append(bands(found).view(np.int64))
-        new = [pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signed, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([*(c for c, f in zip(batch.columns, batch.schema) if f.name != "text"), *new], [*(f.name for f in batch.schema if f.name != "text"), "n_shingles", "_high", "_low", "_bands"])
+def _signer(keep: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, "text", TEXT_BYTES):
+            n, high, low, signed = [], [], [], []
+            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+                found = shingle_set(blank_words(text))
+                n.append(len(found))
+                if not len(found):
+                    high.append(None), low.append(None), signed.append(None)
+                    continue
+                digest = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
+                high.append(int(digest[0])), low.append(int(digest[1])), signed.append(bands(found).view(np.int64))
+            new = [pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signed, pa.list_(pa.int64()))]
+            old = [(c, f.name) for c, f in zip(batch.columns, batch.schema) if keep or f.name != "text"]
+            yield pa.RecordBatch.from_arrays([*(c for c, _ in old), *new], [*(x for _, x in old), "n_shingles", "_high", "_low", "_bands"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches, "text", TEXT_BYTES):
         sets = [shingle_set(blank_words(t)).view(np.int64) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -173,17 +178,18 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Rows without shingles all stay. All columns stay as they are; see ``near_duplicates`` for the links.
     """
-    signed = _signed(docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("_all")))
+    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
+    signed = _signed(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_none"), *others).alias("_rest")), keep=True)
+    back = [F.col("_rest")[c].alias(c) if c not in ("doc_id", "text") else F.col(c) for c in docs.columns]
     heads = _placed(docs, signed, percent).select(F.col("head.row").alias("row")).distinct()
-    first = signed.select("row", "_all", "n_shingles")
-    alone = first.where("n_shingles = 0").select("_all.*")
-    return first.where("n_shingles > 0").join(heads, "row", "left_semi").select("_all.*").union(alone)
+    alone = signed.where("n_shingles = 0").select(*back)
+    return signed.where("n_shingles > 0").join(heads, "row", "left_semi").select(*back).union(alone)
 
 
-def _signed(base: DataFrame) -> DataFrame:
-    """Set size, class key and bands of each row, stored with a row number; the text itself goes."""
+def _signed(base: DataFrame, keep: bool = False) -> DataFrame:
+    """Set size, class key and bands of each row, stored with a row number; without ``keep`` the text itself goes."""
     base = base.withColumn("_text", F.xxhash64("text"))
-    signed = base.mapInArrow(_sign, widened(base.drop("text"), "n_shingles long, _high long, _low long, _bands array<long>"))
+    signed = base.mapInArrow(_signer(keep), widened(base if keep else base.drop("text"), "n_shingles long, _high long, _low long, _bands array<long>"))
     return stored(signed.withColumn("row", F.monotonically_increasing_id()))
 
 

@@ -20,7 +20,7 @@ from weftwork.llm.common import parts, widened
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 250_000
+CACHED_WORDS = 100_000
 CELLS = 2_000_000
 TEXT_BYTES = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
