@@ -12,11 +12,12 @@ from weftwork.functions.urls import netloc, scheme, source_id_from_url
 
 
 def upsert(state: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The newest change per key laid over the state; ``action`` is created, updated or kept.
+    """The changes per key laid over the state, each column's newest non-null value; ``action`` is created, updated or kept.
 
-    Columns missing from the changes, and nulls in them, keep their old value.
+    Columns missing from the changes, and nulls in all changes of a key, keep their old value.
     """
-    newest = changes.groupBy(key).agg(F.max_by(F.struct(*changes.columns), F.struct(*order)).alias("_new"))
+    values = [c for c in changes.columns if c != key]
+    newest = changes.groupBy(key).agg(F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in values]).alias("_new"))
     old = state.withColumn("_old", F.lit(True))
     joined = old.join(newest, key, "full_outer")
     values = [F.coalesce(F.col(f"_new.{c}"), F.col(c)).alias(c) if c in changes.columns else F.col(c) for c in state.columns if c != key]

@@ -28,8 +28,10 @@ def _changes(spark, sf):
     return events.select("user_id", F.col("event_type").alias("status"), F.when(F.col("event_type") != "click", F.col("value")).alias("amount"), F.col("ts").alias("updated_at"), "event_id")
 
 
-# max_by skips nulls in one engine and not in the other, so the newest change is picked by rank.
-_UPSERT = f"""WITH s AS ({_STATE}), c AS (SELECT * FROM (SELECT user_id, event_type AS status, CASE WHEN event_type = 'click' THEN NULL ELSE value END AS amount, ts AS updated_at, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_id % 3 = 0 AND user_id % 7 > 0) WHERE rn = 1),
+# Per column the newest value that is not null, so that every partial change of a key counts.
+_LAST = "(array_agg({0} ORDER BY ts DESC, event_id DESC) FILTER (WHERE {0} IS NOT NULL))[1] AS {0}"
+_UPSERT = f"""WITH s AS ({_STATE}), n AS (SELECT user_id, event_type AS status, CASE WHEN event_type = 'click' THEN NULL ELSE value END AS amount, ts AS updated_at, ts, event_id FROM events WHERE event_id % 3 = 0 AND user_id % 7 > 0),
+c AS (SELECT user_id, {_LAST.format("status")}, {_LAST.format("amount")}, {_LAST.format("updated_at")} FROM n GROUP BY 1),
 up AS (SELECT coalesce(c.user_id, s.user_id) AS user_id, coalesce(c.status, s.status) AS status, coalesce(c.amount, s.amount) AS amount, coalesce(c.updated_at, s.updated_at) AS updated_at,
   CASE WHEN c.user_id IS NULL THEN 'kept' WHEN s.user_id IS NULL THEN 'created' ELSE 'updated' END AS action FROM s FULL JOIN c ON s.user_id = c.user_id)
 """
