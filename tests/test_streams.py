@@ -65,7 +65,7 @@ def test_counters_in_update_mode(spark, log, folder, tmp_path):
 
 def test_dedup_across_triggers(spark, log, folder, tmp_path):
     keyed = arriving(spark, folder, log).select("source", "ts")
-    streams.write_available(streams.new_urls(keyed, "source", "ts", "10 days"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    streams.write_available(streams.new_urls(keyed, "source"), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == log.select("source").distinct().count()
 
 
@@ -86,6 +86,26 @@ def test_stall_alert(spark, tmp_path):
     assert {(r.source, r.stalled_at) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", datetime(2024, 1, 1, 0, 10))}
 
 
+def test_late_rows_do_not_move_a_stall_timer(spark, tmp_path):
+    streams.use_rocksdb(spark)
+    from datetime import datetime
+
+    at = lambda h, m: datetime(2024, 1, 1, h, m)
+    for row in [("a", at(0, 5), 3), ("a", at(0, 4), 3), ("c", at(2, 0), 1), ("c", at(2, 1), 1)]:
+        spark.createDataFrame([row], "source string, ts timestamp, remaining int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("source string, ts timestamp, remaining int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    streams.write_available(streams.stall_alerts(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert {(r.source, r.stalled_at) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", at(0, 15))}
+
+
+def test_a_url_seen_long_ago_is_not_new(spark, tmp_path):
+    for day in (1, 20, 2):
+        spark.sql(f"SELECT 'u' AS url, TIMESTAMP'2024-01-{day:02d} 00:00:00' AS ts").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("url string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    streams.write_available(streams.new_urls(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
 def test_progress_reader(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"url": "u", "status": "success", "timestamp": "2024-01-01T00:00:00Z"}\n')

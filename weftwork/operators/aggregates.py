@@ -280,12 +280,20 @@ def domain_band(domains) -> Column:
 
 
 def declared_counts(envelopes: DataFrame) -> DataFrame:
-    """Declared against actual number of URLs per envelope, and missing metadata."""
-    actual = F.size("urls")
-    return envelopes.select(
-        "source", actual.alias("actual"), F.col("totalCount").alias("declared"),
-        F.when(F.col("totalCount").isNull(), "missing").when(F.col("totalCount") != actual, "mismatch").otherwise("ok").alias("count_check"),
-        F.when(F.col("lastUpdated").isNull(), "missing").otherwise("ok").alias("updated_check"),
+    """Declared against actual number of URLs per source, over all of its envelopes, and missing metadata.
+
+    Each envelope of a source declares the whole source's count; parts that differ, or have none, are a fault of the source.
+    """
+    sums = envelopes.groupBy("source").agg(
+        F.sum(F.coalesce(F.size("urls"), F.lit(0))).alias("actual"), F.max("totalCount").alias("declared"),
+        F.min("totalCount").alias("_least"), F.count_if(F.col("totalCount").isNull()).alias("_none"),
+        F.count_if(F.col("lastUpdated").isNull()).alias("_undated"),
+    )
+    same = (F.col("declared") == F.col("actual")) & (F.col("_least") == F.col("actual"))
+    return sums.select(
+        "source", "actual", "declared",
+        F.when(F.col("_none") > 0, "missing").when(~same, "mismatch").otherwise("ok").alias("count_check"),
+        F.when(F.col("_undated") > 0, "missing").otherwise("ok").alias("updated_check"),
     )
 
 

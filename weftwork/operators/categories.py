@@ -44,7 +44,7 @@ def taxonomy(raw: DataFrame, column: str = "value") -> DataFrame:
     parsed = raw.select(F.from_json(column, "map<string,array<string>>").alias("m"))
     categories = parsed.select(F.posexplode(F.map_entries("m")).alias("c", "entry"))
     rows = categories.select("c", F.col("entry.key").alias("category"), F.posexplode("entry.value").alias("i", "component"))
-    return rows.select("component", "category", (F.col("c") * 1000000 + F.col("i")).cast("bigint").alias("position"))
+    return rows.select("component", "category", (F.shiftleft(F.col("c").cast("bigint"), 32) + F.col("i")).alias("position"))
 
 
 def members(components: DataFrame, category: str) -> DataFrame:

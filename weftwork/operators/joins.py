@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.functions import buckets
-from weftwork.operators.rows import beside
+from weftwork.operators.rows import beside, newest_values
 from weftwork.operators.scan import first_rows
 from weftwork.operators.terms import find_terms
 
@@ -116,9 +116,12 @@ def with_inventory(expected: DataFrame, files: DataFrame, key: str = "filename")
     return expected.join(sizes, key, "left").withColumn("file_exists", F.col("file_size_bytes").isNotNull())
 
 
-def upsert_entities(entities: DataFrame, incoming: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Old and new rows by natural key; ``outcome`` says created, updated or kept."""
-    old, new = entities.alias("old"), incoming.alias("new")
+def upsert_entities(entities: DataFrame, incoming: DataFrame, key: str, fields: list[str], order: list[str]) -> DataFrame:
+    """Old and new rows by natural key; ``outcome`` says created, updated or kept.
+
+    Repeated incoming keys are folded first: each field's newest non-null value by ``order``.
+    """
+    old, new = entities.alias("old"), newest_values(incoming, key, order, fields).select(key, "_new.*").alias("new")
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
     outcome = (
         F.when(F.col(f"new.{key}").isNull(), "kept").when(F.col(f"old.{key}").isNull(), "created").otherwise("updated")

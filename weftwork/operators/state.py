@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftwork.functions.records import count_where, completion
 from weftwork.functions.urls import netloc, scheme, source_id_from_url
+from weftwork.operators.rows import newest_values
 
 
 def upsert(state: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -16,8 +17,7 @@ def upsert(state: DataFrame, changes: DataFrame, key: str, order: Sequence[str])
 
     Columns missing from the changes, and nulls in all changes of a key, keep their old value.
     """
-    values = [c for c in changes.columns if c != key]
-    newest = changes.groupBy(key).agg(F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in values]).alias("_new"))
+    newest = newest_values(changes, key, order)
     old = state.withColumn("_old", F.lit(True))
     joined = old.join(newest, key, "full_outer")
     values = [F.coalesce(F.col(f"_new.{c}"), F.col(c)).alias(c) if c in changes.columns else F.col(c) for c in state.columns if c != key]
@@ -31,10 +31,17 @@ def fold(log: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return newest.select("_row.*")
 
 
-def history(upserted: DataFrame, key: str, at: Column, details: Sequence[str] = ()) -> DataFrame:
-    """History rows for what an upsert changed; the id is the key with its time, not a counter."""
-    changed = upserted.where("action <> 'kept'")
-    return changed.select(F.md5(F.concat_ws("|", F.col(key).cast("string"), at.cast("string"), "action")).alias("id"), key, "action", at.alias("timestamp"), *details)
+def history(state: DataFrame, changes: DataFrame, key: str, order: Sequence[str], at: Column, details: Sequence[str] = ()) -> DataFrame:
+    """One history row for each change: the first of a key that the state lacks is created, all others are updated.
+
+    The id is made of the key, its time and its place in the order, not of a counter.
+    """
+    place = F.struct(*order)
+    first = changes.groupBy(key).agg(F.min(place).alias("_first")).join(state.select(key), key, "left_anti")
+    action = F.when(F.col("_first") == place, "created").otherwise("updated")
+    rows = changes.join(first, key, "left").withColumn("action", action)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *order)]
+    return rows.select(F.md5(F.concat_ws("|", *parts, at.cast("string"), "action")).alias("id"), key, "action", at.alias("timestamp"), *details)
 
 
 def story_counts(states: DataFrame, stories: str = "stories") -> DataFrame:
@@ -49,12 +56,11 @@ def get(state: DataFrame, key: str, value) -> DataFrame:
     return state.where(F.col(key) == value).limit(1)
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """One change row per key: set fields win, null fields keep the state; unknown keys are ignored."""
-    names = [c for c in changes.columns if c != key]
-    renamed = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in names])
-    out = state.join(renamed, key, "left")
-    return out.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in names else F.col(c) for c in state.columns])
+def apply_changes(state: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Each field's newest non-null change wins, others keep the state; unknown keys are ignored. Rows stay as many as they are."""
+    names = [c for c in changes.columns if c != key and c in state.columns]
+    out = state.join(newest_values(changes, key, order, names), key, "left")
+    return out.select(*[F.coalesce(F.col(f"_new.{c}"), F.col(c)).alias(c) if c in names else F.col(c) for c in state.columns])
 
 
 def delete(keys: DataFrame, key: str, *tables: DataFrame) -> list[DataFrame]:
@@ -67,7 +73,7 @@ def retries(state: DataFrame, events: DataFrame, key: str, status: str = "in_pro
     """Retry events (key, ts, method) folded in: status, attempts, last attempt and method."""
     # Map-side combinable: a key with very many retries sends one row per task.
     seen = events.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("ts").alias("_last"), F.max_by("method", "ts").alias("_method")
+        F.count(F.lit(1)).alias("_n"), F.max("ts").alias("_last"), F.max_by("method", F.struct("ts", "method")).alias("_method")
     )
     out = state.join(seen, key, "left")
     hit = F.col("_n").isNotNull()

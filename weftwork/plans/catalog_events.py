@@ -329,11 +329,12 @@ _MODES = {
 }
 
 
-@query("multi_sort", with_ctes("sources", " UNION ALL ".join(f"SELECT '{m}' AS mode, source FROM (SELECT source FROM sources ORDER BY {o} LIMIT 15)" for m, o in _MODES.items())))
+@query("multi_sort", with_ctes("sources", " UNION ALL ".join(f"SELECT '{m}' AS mode, source, row_number() OVER (ORDER BY {o}, source) AS place FROM sources" for m, o in _MODES.items())))
 def multi_sort(spark, sf):
-    """The first fifteen sources under each sort mode."""
+    """All sources with their place under each sort mode."""
     rows = standins.sources(spark, sf)
-    parts = [ordering.sorted_sources(rows, m).limit(15).select(F.lit(m).alias("mode"), "source") for m in _MODES]
+    one = {"place": ("sum", F.lit(1).cast("bigint"))}
+    parts = [scan.running(rows, [], [*ordering.sort_key(m), F.col("source")], one).select(F.lit(m).alias("mode"), "source", "place") for m in _MODES]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)

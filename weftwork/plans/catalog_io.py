@@ -197,11 +197,12 @@ def io_inline_rows(spark, sf):
     return rows.join(labels, "k")
 
 
-@query("io_number_table", "SELECT o_custkey AS id, count(*) AS n FROM orders WHERE o_custkey < 100 GROUP BY 1 UNION ALL SELECT i, 0 FROM range(100) t(i) WHERE i NOT IN (SELECT o_custkey FROM orders)")
+@query("io_number_table", "SELECT o_custkey AS id, count(*) AS n FROM orders GROUP BY 1 UNION ALL SELECT i, 0 FROM range((SELECT max(o_custkey) + 1 FROM orders)) t(i) WHERE i NOT IN (SELECT o_custkey FROM orders)")
 def io_number_table(spark, sf):
-    """A generated range joined with the orders it counts."""
+    """A generated range up to the largest customer, joined with the orders it counts."""
     counts = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    return readers.numbers(spark, 100).join(counts, "id", "left").fillna(0, ["n"])
+    top = counts.agg(F.max("id")).first()[0]
+    return readers.numbers(spark, 0 if top is None else top + 1).join(counts, "id", "left").fillna(0, ["n"])
 
 
 @query("io_report", with_ctes("log", "SELECT source, count(*) AS total FROM log GROUP BY 1"))

@@ -330,10 +330,13 @@ def doc_emails_urls(spark, sf):
 
 
 @query("email_check", f"""
-SELECT doc_id, regexp_matches(word, '^{vocab.EMAIL}$') AS is_email FROM (SELECT doc_id, split_part(text, ' ', 1) || CASE WHEN doc_id % 2 = 0 THEN '@example.com' ELSE '' END AS word FROM documents)""")
+SELECT doc_id, count(*) AS words, count(*) FILTER (WHERE regexp_matches(word, '^{vocab.EMAIL}$')) AS emails
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) || CASE WHEN doc_id % 2 = 0 THEN '@example.com' ELSE '' END AS word FROM documents) GROUP BY 1""")
 def email_check(spark, sf):
-    word = F.concat(F.split_part("text", F.lit(" "), F.lit(1)), F.when(F.col("doc_id") % 2 == 0, "@example.com").otherwise(""))
-    return table(spark, sf, "documents").select("doc_id", X.is_email(word).alias("is_email"))
+    """Every word of every text put to the address test; half of them with a host behind."""
+    host = F.when(F.col("doc_id") % 2 == 0, "@example.com").otherwise("")
+    words = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"), host.alias("host"))
+    return words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("words"), F.count_if(X.is_email(F.concat("word", "host"))).alias("emails"))
 
 
 _SECRET = "text || CASE doc_id % 5 WHEN 0 THEN ' Authorization: Bearer abc.def' WHEN 1 THEN ' api_key=\"sk-123\" x' WHEN 2 THEN ' password: hunter2 end' WHEN 3 THEN ' set-cookie: a=b; c=d' ELSE ' token=t0k secret:zz' END"

@@ -42,10 +42,11 @@ def state_upsert(spark, sf):
     return state.upsert(_state(spark, sf), _changes(spark, sf), "user_id", ["updated_at", "event_id"])
 
 
-@query("state_history", _UPSERT + "SELECT user_id, action, count(*) AS n FROM up WHERE action <> 'kept' GROUP BY ALL")
+@query("state_history", _UPSERT + """, h AS (SELECT n.user_id, CASE WHEN s.user_id IS NULL AND row_number() OVER (PARTITION BY n.user_id ORDER BY ts, event_id) = 1 THEN 'created' ELSE 'updated' END AS action
+  FROM n LEFT JOIN s ON n.user_id = s.user_id) SELECT user_id, action, count(*) AS n FROM h GROUP BY ALL""")
 def state_history(spark, sf):
-    done = state.upsert(_state(spark, sf), _changes(spark, sf), "user_id", ["updated_at", "event_id"])
-    return state.history(done, "user_id", F.col("updated_at")).groupBy("user_id", "action").agg(F.countDistinct("id").alias("n"))
+    done = state.history(_state(spark, sf), _changes(spark, sf), "user_id", ["updated_at", "event_id"], F.col("updated_at"))
+    return done.groupBy("user_id", "action").agg(F.countDistinct("id").alias("n"))
 
 
 @query("state_fold", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
@@ -63,7 +64,9 @@ SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'X' ELSE c_mktsegment END AS
 def state_changes(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     changes = customers.where("c_custkey % 4 = 0").select("c_custkey", F.lit("X").alias("c_mktsegment"), F.when(F.col("c_custkey") % 8 == 0, F.lit(0.0)).alias("c_acctbal"))
-    return state.apply_changes(customers, changes, "c_custkey")
+    early = changes.withColumns({"c_mktsegment": F.lit("W"), "seq": F.lit(1)})
+    late = changes.withColumns({"c_acctbal": F.lit(None).cast("double"), "seq": F.lit(2)})
+    return state.apply_changes(customers, early.unionByName(late), "c_custkey", ["seq"])
 
 
 @query("state_delete", """
@@ -79,12 +82,12 @@ def state_delete(spark, sf):
 
 @query("retry_fold", """
 SELECT c_custkey, CASE WHEN n IS NULL THEN 'blocked' ELSE 'in_progress' END AS status, CAST(c_custkey % 3 + coalesce(n, 0) AS BIGINT) AS attempts, last AS last_attempt, method AS last_method
-FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last, max_by(o_orderpriority, o_orderkey) AS method FROM (SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS m FROM orders) WHERE true GROUP BY 1) r ON c_custkey = o_custkey""".replace("max_by(o_orderpriority, o_orderkey)", "max(CASE WHEN o_orderdate = m THEN 'retry' END)"))
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last, (array_agg(o_orderpriority ORDER BY o_orderdate DESC, o_orderpriority DESC))[1] AS method FROM orders GROUP BY 1) r ON c_custkey = o_custkey""")
 def retry_fold(spark, sf):
     current = table(spark, sf, "customer").select(
         "c_custkey", F.lit("blocked").alias("status"), (F.col("c_custkey") % 3).alias("attempts"), F.lit(None).cast("timestamp_ntz").alias("last_attempt"), F.lit(None).cast("string").alias("last_method"),
     )
-    events = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").alias("ts"), F.lit("retry").alias("method"))
+    events = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").alias("ts"), F.col("o_orderpriority").alias("method"))
     return state.retries(current, events, "c_custkey")
 
 
@@ -226,12 +229,13 @@ def orphan_labels(spark, sf):
 
 @query("entity_sync", """
 SELECT coalesce(n.k, o.k) AS k, coalesce(n.name, o.name) AS name, CASE WHEN n.k IS NULL THEN 'kept' WHEN o.k IS NULL THEN 'created' ELSE 'updated' END AS outcome
-FROM (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 0) o FULL JOIN (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'new ' || c_mktsegment END AS name FROM customer WHERE c_custkey % 3 = 0) n ON o.k = n.k""")
+FROM (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 0) o FULL JOIN (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'early' ELSE 'new ' || c_mktsegment END AS name FROM customer WHERE c_custkey % 3 = 0) n ON o.k = n.k""")
 def entity_sync(spark, sf):
     customers = table(spark, sf, "customer")
     old = customers.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
     new = customers.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("new "), "c_mktsegment")).alias("name"))
-    return joins.upsert_entities(old, new, "k", ["name"])
+    both = new.withColumn("seq", F.lit(2)).union(new.select("k", F.lit("early"), F.lit(1)))
+    return joins.upsert_entities(old, both, "k", ["name"], ["seq"])
 
 
 # --- graph -----------------------------------------------------------------
@@ -343,7 +347,6 @@ def category_regex(spark, sf):
     return rows.select("p_partkey", categories.pattern_category("m").alias("category"), categories.brand("m").alias("brand"))
 
 
-_TEXTS = "SELECT DISTINCT lower(substr(text, 1 + CAST(doc_id % 50 AS INT), 80)) AS t FROM documents"
 _WORDS = "SELECT DISTINCT lower(split_part(text, ' ', 3)) AS w FROM benchmark WHERE length(split_part(text, ' ', 3)) BETWEEN 2 AND 20"
 
 

@@ -51,9 +51,9 @@ def stream_status_counts(spark, sf):
 
 @query("stream_dedup", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
 def stream_dedup(spark, sf):
-    """Each key once; the watermark spans the table."""
+    """Each key once, ever."""
     keyed = _events(spark, sf).withColumn("key", F.concat_ws("/", "user_id", "event_type"))
-    fresh = streams.new_urls(keyed.select("key", "ts", "user_id", "event_type"), "key", "ts", "400 days")
+    fresh = streams.new_urls(keyed.select("key", "ts", "user_id", "event_type"), "key")
     return _run(fresh).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -114,7 +114,10 @@ def stream_transitions(spark, sf):
     return _run(streams.status_alerts(rows))
 
 
-@query("stream_stall_alerts")
+@query("stream_stall_alerts", """
+WITH n AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, event_id % 3 AS remaining FROM events),
+l AS (SELECT user_id, max(ms) AS ms, (array_agg(remaining ORDER BY ms DESC, remaining))[1] AS remaining FROM n GROUP BY 1)
+SELECT 'site_' || user_id AS source, make_timestamp((ms + 600000) * 1000) AS stalled_at FROM l WHERE remaining > 0 AND ms + 600000 < (SELECT max(ms) - 60000 FROM n)""")
 def stream_stall_alerts(spark, sf):
     """Sources silent for ten minutes with work left, found by event-time timers."""
     rows = _events(spark, sf).select(F.concat(F.lit("site_"), F.col("user_id").cast("string")).alias("source"), "ts", (F.col("event_id") % 3).alias("remaining"))

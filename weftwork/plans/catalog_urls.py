@@ -11,6 +11,7 @@ from weftwork.operators import aggregates, joins, ordering, sets, windows
 from weftwork.plans import jobs, standins
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
+from weftwork.sources.writers import url_envelopes
 
 _TRACKING = ", ".join(f"'{p}'" for p in vocab.TRACKING_PARAMS)
 _LIGHT = ", ".join(f"'{p}'" for p in vocab.LIGHT_TRACKING_PARAMS)
@@ -364,10 +365,9 @@ SELECT source, n AS actual, CASE WHEN n % 3 = 0 THEN NULL WHEN n % 3 = 1 THEN n
   CASE WHEN n % 3 = 0 THEN 'missing' WHEN n % 3 = 1 THEN 'mismatch' ELSE 'ok' END AS count_check,
   CASE WHEN n % 2 = 0 THEN 'missing' ELSE 'ok' END AS updated_check FROM (SELECT source, count(DISTINCT url) AS n FROM log GROUP BY source)"""))
 def declared_counts(spark, sf):
-    """Declared against actual URL counts of per-source envelopes (at most 40 URLs each here)."""
-    urls = standins.log(spark, sf).groupBy("source").agg(F.collect_set("url").alias("urls"))
-    n = F.size("urls")
-    envelopes = urls.select(
+    """Declared against actual URL counts of sources in envelopes of about ten URLs."""
+    n = F.col("totalCount")
+    envelopes = url_envelopes(standins.log(spark, sf).select("source", "url").distinct(), batch=10).select(
         "source", "urls", F.when(n % 3 == 0, None).when(n % 3 == 1, n + 1).otherwise(n).alias("totalCount"),
         F.when(n % 2 == 0, None).otherwise(F.lit("2024-01-01")).alias("lastUpdated"),
     )

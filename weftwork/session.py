@@ -33,7 +33,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where neither that
-    setting nor the context has one (tests, a laptop) is a new folder made.
+    setting nor the context has one, and the session runs on one machine
+    (tests, a laptop), is a new folder made.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,6 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="weftwork-checkpoint-")
     context.setCheckpointDir(named)
     return named

@@ -237,8 +237,8 @@ def log_tail(log: DataFrame, n: int, ts: str = "timestamp", tie: str = "message"
     return log.orderBy(F.col(ts).desc(), F.col(tie).desc()).limit(n)
 
 
-def log_tails(log: DataFrame, keys: list[str], n: int, ts: str = "timestamp") -> DataFrame:
-    return first_rows(log, keys, [F.col(ts).desc()], n)
+def log_tails(log: DataFrame, keys: list[str], n: int, ts: str = "timestamp", tie: str = "message") -> DataFrame:
+    return first_rows(log, keys, [F.col(ts).desc(), F.col(tie).desc()], n)
 
 
 _ENTITY = "struct<id:string,type:string,name:string,observations:array<string>,properties:string,createdAt:string,updatedAt:string>"

@@ -40,9 +40,12 @@ def status_counters(log: DataFrame, keys: list[str]) -> DataFrame:
     return aggregates.progress_counts(log, keys)
 
 
-def new_urls(log: DataFrame, key: str = "url", ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """Each URL once within the watermark."""
-    return log.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def new_urls(log: DataFrame, key: str = "url") -> DataFrame:
+    """Each URL once, however late it comes again.
+
+    "Ever seen" has no end, so the keys stay in the state store (RocksDB, on the executors' disks) for the stream's life.
+    """
+    return log.dropDuplicates([key])
 
 
 def daily_quota(log: DataFrame, limit: int, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
@@ -123,30 +126,36 @@ class StatusAlerts(StatefulProcessor):
 
 
 class StallTimer(StatefulProcessor):
-    """A row when a source has been silent for the stall time while work remains."""
+    """A row when a source has been silent for the stall time while work remains.
+
+    Times are milliseconds. The state holds the newest row, so that older rows, however admissible, move nothing; of
+    rows of one time the one with least work left counts.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.due = handle.getValueState("due", "due bigint")
+        self.newest = handle.getValueState("newest", "ms bigint, remaining bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest, remaining = None, 0
+        before = tuple(int(x) for x in self.newest.get()) if self.newest.exists() else None
+        newest = before
         for frame in rows:
-            top = frame.sort_values("ts").iloc[-1]
-            if newest is None or top["ts"] > newest:
-                newest, remaining = top["ts"], int(top["remaining"])
-        if self.due.exists():
-            self.handle.deleteTimer(int(self.due.get()[0]))
-            self.due.clear()
-        if newest is not None and remaining > 0:
-            due = int(newest.timestamp() * 1000) + vocab.STALL_MINUTES * 60_000
-            self.due.update((due,))
-            self.handle.registerTimer(due)
-        yield pd.DataFrame({"source": pd.Series(dtype="object"), "stalled_at": pd.Series(dtype="datetime64[us]")})
+            top = frame.sort_values(["ms", "remaining"], ascending=[True, False]).iloc[-1]
+            row = (int(top["ms"]), int(top["remaining"]))
+            if newest is None or row[0] > newest[0] or (row[0] == newest[0] and row[1] < newest[1]):
+                newest = row
+        if newest != before:
+            if before is not None:
+                self.handle.deleteTimer(before[0] + self.wait)
+            if newest[1] > 0:
+                self.handle.registerTimer(newest[0] + self.wait)
+            self.newest.update(newest)
+        yield pd.DataFrame({"source": pd.Series(dtype="object"), "stalled_ms": pd.Series(dtype="int64")})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.due.clear()
-        yield pd.DataFrame({"source": [key[0]], "stalled_at": [pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")]})
+        yield pd.DataFrame({"source": [key[0]], "stalled_ms": [expiredTimerInfo.getExpiryTimeInMs()]})
+
+    wait = vocab.STALL_MINUTES * 60_000
 
     def close(self) -> None:
         pass
@@ -168,8 +177,10 @@ def status_alerts(log: DataFrame) -> DataFrame:
 
 
 def stall_alerts(log: DataFrame, delay: str = "1 minute") -> DataFrame:
-    rows = log.select("source", "ts", "remaining").withWatermark("ts", delay)
-    return rows.groupBy("source").transformWithStateInPandas(StallTimer(), "source string, stalled_at timestamp", "Append", "EventTime")
+    rows = log.where("ts IS NOT NULL").withWatermark("ts", delay)
+    rows = rows.select("source", "ts", F.unix_millis("ts").alias("ms"), F.coalesce("remaining", F.lit(0)).alias("remaining"))
+    found = rows.groupBy("source").transformWithStateInPandas(StallTimer(), "source string, stalled_ms bigint", "Append", "EventTime")
+    return found.select("source", F.timestamp_millis("stalled_ms").alias("stalled_at"))
 
 
 def write_block_runs(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
