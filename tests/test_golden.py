@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from weftwork.functions import pages as P
 from weftwork.operators import aggregates, categories, extraction, filters, ordering, scan, windows
 
 SOURCES = [
@@ -133,3 +134,14 @@ def test_first_row_and_profile(spark):
     profile = {r.column_name: r for r in aggregates.profile(df, exact=True).collect()}
     assert profile["o"].max == "9" and profile["v"].distinct_count == 3
     assert df.select(F.count("k")).first()[0] == 3
+
+
+def test_nested_markup(spark):
+    gallery = '<div class="wp-block-gallery"><div><img src="http://a/1.jpg"></div><div><div><img data-src="http://a/2.jpg"></div></div></div><div><img src="http://a/no.jpg"></div><figure class="wp-block-image"><figure><img src="http://a/3.jpg"></figure></figure>'
+    items = '<ul class="wp-block-list"><li>Outer kit<ul><li>Inner one</li><li>Inner two</li></ul></li><li><a href="x">Next item</a></li></ul><ul><li>Not this</li></ul><ul class="x wp-block-list"><li>Last item<li>Never ended'
+    df = spark.createDataFrame([(1, gallery, items), (2, None, None), (3, "", "</ul></li>")], "id int, g string, l string")
+    out = {r.id: r for r in df.select("id", P.gallery_images("g").alias("images"), extraction.list_items("l").alias("items")).collect()}
+    assert out[1].images == ["http://a/1.jpg", "http://a/2.jpg", "http://a/3.jpg"]
+    assert out[1]["items"] == ["Outer kit Inner one Inner two", "Inner one", "Inner two", "Next item", "Last item Never ended", "Never ended"]
+    assert out[2].images is None and out[2]["items"] is None
+    assert out[3].images == [] and out[3]["items"] == []

@@ -27,33 +27,33 @@ def rows(df):
 
 def test_running_segmented(events):
     exprs = {"n": ("sum", F.lit(1).cast("bigint")), "top": ("max", F.col("v")), "low": ("min", F.col("v")), "some": ("sum", F.when(F.col("v") > 90, F.col("v")))}
-    plain = scan.running(events, ["key"], ["t", "id"], exprs)
-    cut = scan.running(events, ["key"], ["t", "id"], exprs, group_rows=10, segments=7)
+    plain = scan.running(events, ["key"], ["t", "id"], exprs, segments=1)
+    cut = scan.running(events, ["key"], ["t", "id"], exprs, segments=7)
     assert plain.columns == cut.columns and rows(plain) == rows(cut)
 
 
 def test_running_without_keys(events):
-    plain = scan.row_numbers(events, [], ["t", "id"], "n")
-    cut = scan.row_numbers(events, [], ["t", "id"], "n", group_rows=10, segments=5)
+    plain = scan.row_numbers(events, [], ["t", "id"], "n", segments=1)
+    cut = scan.row_numbers(events, [], ["t", "id"], "n", segments=5)
     assert rows(plain) == rows(cut)
 
 
 def test_running_descending(events):
     order = [F.col("t").desc(), F.col("id")]
-    plain = scan.row_numbers(events, ["key"], order, "n")
-    assert rows(plain) == rows(scan.row_numbers(events, ["key"], order, "n", group_rows=10, segments=4))
+    plain = scan.row_numbers(events, ["key"], order, "n", segments=1)
+    assert rows(plain) == rows(scan.row_numbers(events, ["key"], order, "n", segments=4))
 
 
 def test_previous_segmented(events):
-    plain = scan.previous(events, ["key"], ["t", "id"], {"before": "status", "was": "v"})
-    cut = scan.previous(events, ["key"], ["t", "id"], {"before": "status", "was": "v"}, group_rows=10, segments=6)
+    plain = scan.previous(events, ["key"], ["t", "id"], {"before": "status", "was": "v"}, segments=1)
+    cut = scan.previous(events, ["key"], ["t", "id"], {"before": "status", "was": "v"}, segments=6)
     assert rows(plain) == rows(cut)
 
 
 def test_run_lengths_segmented(events):
     hit, reset = F.col("status") == "blocked", F.col("status") == "success"
-    plain = windows.run_lengths(events, ["key"], ["t", "id"], hit, reset)
-    cut = windows.run_lengths(events, ["key"], ["t", "id"], hit, reset, group_rows=10, segments=6)
+    plain = windows.run_lengths(events, ["key"], ["t", "id"], hit, reset, segments=1)
+    cut = windows.run_lengths(events, ["key"], ["t", "id"], hit, reset, segments=6)
     assert rows(plain) == rows(cut)
     want, out = {}, []
     for r in sorted(events.collect(), key=lambda r: (r.t, r.id)):
@@ -64,14 +64,14 @@ def test_run_lengths_segmented(events):
 
 def test_sessions_segmented(events):
     blocked = F.col("status") == "blocked"
-    plain = windows.sessions(events, ["key"], ["t", "id"], blocked, pages=3)
-    cut = windows.sessions(events, ["key"], ["t", "id"], blocked, pages=3, group_rows=10, segments=6)
+    plain = windows.sessions(events, ["key"], ["t", "id"], blocked, pages=3, segments=1)
+    cut = windows.sessions(events, ["key"], ["t", "id"], blocked, pages=3, segments=6)
     assert rows(plain) == rows(cut)
 
 
 def test_transitions_segmented(events):
-    plain = windows.transitions(events, ["key"], ["t", "id"], into=["blocked"])
-    assert rows(plain) == rows(windows.transitions(events, ["key"], ["t", "id"], into=["blocked"], group_rows=10, segments=6))
+    plain = windows.transitions(events, ["key"], ["t", "id"], into=["blocked"], segments=1)
+    assert rows(plain) == rows(windows.transitions(events, ["key"], ["t", "id"], into=["blocked"], segments=6))
 
 
 WORDS = ["cat", "catalog", "at", "turbo kit", "superchargers", "x", "brake", "ünter"]

@@ -346,19 +346,64 @@ def json_ld(html) -> Column:
 
 def gallery_images(html) -> Column:
     """Images of gallery blocks, then of image blocks; absolute addresses, each once."""
-    html = _col(html)
-    gallery = F.regexp_extract_all(html, F.lit(r"(?is)<(?:figure|div|ul)\b[^>]*wp-block-gallery.*?(?:</ul>|</div>|</figure>\s*</figure>|$)"), F.lit(0))
-    single = F.regexp_extract_all(html, F.lit(r"(?is)<(?:figure|div)\b[^>]*wp-block-image.*?</(?:figure|div)>"), F.lit(0))
+    tags = F.regexp_extract_all(_col(html), F.lit(r"(?is)<(?:/?(?:figure|div|ul)\b|img\b)[^>]*>"), F.lit(0))
 
-    def sources(blocks):
-        tags = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))))
-        src = F.transform(tags, lambda t: F.coalesce(
+    def sources(images):
+        src = F.transform(images, lambda t: F.coalesce(
             F.nullif(F.regexp_extract(t, r"(?is)\ssrc\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("")),
             _attribute(t, "data-src"),
         ))
         return F.filter(src, lambda s: s.startswith("http"))
 
-    return F.array_distinct(F.concat(sources(gallery), sources(single)))
+    return F.array_distinct(F.concat(
+        sources(_images_inside(tags, r"(?is)^<(?:figure|div|ul)\b[^>]*wp-block-gallery")),
+        sources(_images_inside(tags, r"(?is)^<(?:figure|div)\b[^>]*wp-block-image")),
+    ))
+
+
+def _images_inside(tags: Column, opening: str) -> Column:
+    """The ``img`` tags inside elements whose opening tag matches, however deep; an element without an end reaches to the last tag.
+
+    One fold over the tags of a page. Only tags of the opened element's own name count for its depth.
+    """
+    name = lambda t: F.lower(F.regexp_extract(t, r"^</?(\w+)", 1))
+    start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("found"))
+
+    def state(name_, depth, found):
+        return F.struct(name_.alias("name"), depth.alias("depth"), found.alias("found"))
+
+    def step(s, t):
+        inside = s["depth"] > 0
+        change = F.when(t.startswith("</"), -1).otherwise(1)
+        return (
+            F.when(~inside & t.rlike(opening), state(name(t), F.lit(1), s["found"]))
+            .when(inside & (name(t) == "img"), state(s["name"], s["depth"], F.concat(s["found"], F.array(t))))
+            .when(inside & (name(t) == s["name"]), state(s["name"], s["depth"] + change, s["found"]))
+            .otherwise(s)
+        )
+
+    return F.aggregate(tags, start, step, lambda s: s["found"])
+
+
+def nested_elements(html: Column, tag: str, opening: str, outermost: bool = False) -> Column:
+    """Elements named ``tag`` whose opening tag matches, whole, those inside others too; ``outermost``: only those inside no other match.
+
+    An element without an end reaches to the end of the text.
+    """
+    pieces = F.split(html, rf"(?i)(?=</?{tag}\b)")
+    change = F.transform(pieces, lambda p: F.when(p.rlike(rf"(?i)^<{tag}\b"), 1).when(p.rlike(rf"(?i)^</{tag}\b"), -1).otherwise(0))
+    # The depth behind each piece; an end without a beginning counts for nothing.
+    depths = F.aggregate(change, F.array(F.lit(0)), lambda d, c: F.concat(d, F.array(F.greatest(F.element_at(d, -1) + c, F.lit(0)))), lambda d: F.slice(d, 2, F.greatest(F.size(d) - 1, F.lit(0))))
+    rows = F.transform(F.arrays_zip(pieces.alias("p"), depths.alias("d")), lambda r, i: F.struct(r["p"].alias("p"), r["d"].alias("d"), i.alias("i")))
+
+    def end(r):
+        return F.coalesce(F.array_min(F.transform(F.filter(rows, lambda q: (q["i"] > r["i"]) & (q["d"] < r["d"])), lambda q: q["i"])), F.size(pieces))
+
+    opened = F.filter(rows, lambda r: r["p"].rlike(opening))
+    spans = F.transform(opened, lambda r: F.struct(r["i"].alias("i"), end(r).alias("e")))
+    if outermost:
+        spans = F.filter(spans, lambda s: ~F.exists(spans, lambda o: (o["i"] < s["i"]) & (o["e"] > s["i"])))
+    return F.transform(spans, lambda s: F.array_join(F.slice(pieces, s["i"] + 1, s["e"] - s["i"]), ""))
 
 
 def page_images(html) -> Column:

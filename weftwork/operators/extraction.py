@@ -51,9 +51,9 @@ def _says(text_: Column, words: list[str]) -> Column:
 
 
 def list_items(html) -> Column:
-    """Names in list blocks: link text where an item has one."""
-    lists = _blocks(urls._col(html), r"<ul\b[^>]*class=[\"'][^\"']*wp-block-list[^\"']*[\"'][^>]*>(.*?)</ul>")
-    items = F.flatten(F.transform(lists, lambda ul: _blocks(ul, r"<li\b[^>]*>(.*?)</li>")))
+    """Names in list blocks, items of lists inside items too: link text where an item has one."""
+    lists = P.nested_elements(urls._col(html), "ul", r"(?is)^<ul\b[^>]*class=[\"'][^\"']*wp-block-list[^\"']*[\"'][^>]*>", outermost=True)
+    items = F.flatten(F.transform(lists, lambda ul: P.nested_elements(ul, "li", r"(?is)^<li\b")))
     names = F.transform(items, lambda li: P.strip_tags(F.coalesce(
         F.nullif(F.regexp_extract(li, r"(?is)<a\b[^>]*>(.*?)</a>", 1), F.lit("")), li
     )))

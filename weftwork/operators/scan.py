@@ -1,11 +1,10 @@
 """Ordered logic over groups of any size.
 
-A plain window sorts each group inside one task. That is right for most data
-and wrong when one source holds a third of all rows. ``running`` therefore
-checks the largest group first. Beyond the limit it cuts the rows into range
-segments by (keys, order), runs the window inside each segment and carries the
-totals of earlier segments over. Only keys that cross a segment border need a
-carry, so the carry table has at most one row per segment and can be broadcast.
+A plain window sorts each group inside one task, which fails where one source
+holds a third of all rows. Rows are therefore always cut into range segments by
+(keys, order); a window runs inside each segment and the totals of earlier
+segments are carried over. Only keys that cross a segment border need a carry,
+so the carry table has at most one row per segment and can be broadcast.
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from pyspark.sql import functions as F
 
 from weftwork.session import checkpointed
 
-# Rows of one group that a single task may sort.
-GROUP_ROWS = 5_000_000
-# Spark's own bound for limiting groups before the shuffle.
+# Up to this ``n`` Spark limits groups before the shuffle (its own setting).
 _GROUP_LIMIT = 1000
 _SEGMENT = "_segment"
 _RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -29,41 +26,14 @@ def order_columns(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    counts = df.groupBy(*keys).count()
-    return counts.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-
-
-def is_hot(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> bool:
-    """Is some group too large for one task?"""
-    return largest_group(df, list(keys)) > group_rows
-
-
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence,
-    exprs: dict[str, tuple[str, Column]],
-    group_rows: int = GROUP_ROWS,
-    segments: int | None = None,
-    hot: bool | None = None,
-) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], order: Sequence, exprs: dict[str, tuple[str, Column]], segments: int | None = None) -> DataFrame:
     """Adds running aggregates, current row included: ``{name: ("sum"|"max"|"min", column)}``.
 
-    ``order`` must be total within a group (end it with a unique column). A
-    caller that has asked ``is_hot`` already passes the answer.
+    ``order`` must be total within a group (end it with a unique column).
+    ``segments``: how many; as many as shuffle partitions if not given.
     """
-    keys = list(keys)
-    order = order_columns(order)
-    if not (is_hot(df, keys, group_rows) if hot is None else hot):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({n: _RUNNING[op](c).over(w) for n, (op, c) in exprs.items()})
-    return _segmented(df, keys, order, exprs, segments)
-
-
-def _segmented(df, keys, order, exprs, segments) -> DataFrame:
-    spark = df.sparkSession
-    parts = segments or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys, order = list(keys), order_columns(order)
+    parts = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = {f"_in_{n}": c for n, (_, c) in exprs.items()}
     ranged = df.withColumns(values).repartitionByRange(parts, *keys, *order)
     # Stored once: the segment number of a row must not change between the two uses below.
@@ -98,15 +68,11 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, name: str =
     return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))}, **kw)
 
 
-def previous(df: DataFrame, keys: Sequence[str], order: Sequence, columns: dict[str, str], group_rows: int = GROUP_ROWS, segments: int | None = None, hot: bool | None = None) -> DataFrame:
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence, columns: dict[str, str], segments: int | None = None) -> DataFrame:
     """Adds the previous row's values: ``{new name: column}``, null on the first row of a group."""
     keys = list(keys)
-    order = order_columns(order)
-    if not (is_hot(df, keys, group_rows) if hot is None else hot):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     # Position p meets position p - 1: one equi-join, no group in one task.
-    numbered = checkpointed(_segmented(df, keys, order, {"_at": ("sum", F.lit(1).cast("bigint"))}, segments))
+    numbered = checkpointed(row_numbers(df, keys, order, "_at", segments=segments))
     before = numbered.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         (F.col("_at") + 1).alias("_next"), *[F.col(old).alias(new) for new, old in columns.items()],

@@ -45,16 +45,15 @@ def repeats(df: DataFrame, keys: Sequence[str], order: str, name: str = "is_repe
     return df.join(first, match, "left").select(*df.columns, (F.col(order) != F.col("_first")).alias(name))
 
 
-def run_lengths(events: DataFrame, keys: Sequence[str], order: Sequence, hit: Column, reset: Column, name: str = "run", group_rows: int = scan.GROUP_ROWS, segments: int | None = None) -> DataFrame:
+def run_lengths(events: DataFrame, keys: Sequence[str], order: Sequence, hit: Column, reset: Column, name: str = "run", segments: int | None = None) -> DataFrame:
     """Consecutive hits up to each row; a reset starts again at 0, other rows leave the count.
 
     The count at a row is the hits so far minus the hits so far at the last reset.
     """
     order = list(order)
-    kw = {"hot": scan.is_hot(events, keys, group_rows), "segments": segments}
-    counted = scan.running(events, keys, order, {"_hits": ("sum", F.when(hit, 1).otherwise(0).cast("bigint"))}, **kw)
+    counted = scan.running(events, keys, order, {"_hits": ("sum", F.when(hit, 1).otherwise(0).cast("bigint"))}, segments)
     at_reset = F.when(reset, F.col("_hits"))
-    out = scan.running(counted, keys, order, {"_base": ("max", at_reset)}, **kw)
+    out = scan.running(counted, keys, order, {"_base": ("max", at_reset)}, segments)
     return out.withColumn(name, F.col("_hits") - F.coalesce("_base", F.lit(0))).drop("_hits", "_base")
 
 
@@ -91,16 +90,15 @@ def batches(df: DataFrame, order: Sequence, size: int, keys: Sequence[str] = (),
     return out.withColumn(name, F.floor((F.col("_n") - 1) / size)).drop("_n")
 
 
-def sessions(events: DataFrame, keys: Sequence[str], order: Sequence, blocked: Column, pages: int = vocab.SESSION_PAGES, group_rows: int = scan.GROUP_ROWS, segments: int | None = None) -> DataFrame:
+def sessions(events: DataFrame, keys: Sequence[str], order: Sequence, blocked: Column, pages: int = vocab.SESSION_PAGES, segments: int | None = None) -> DataFrame:
     """Fetch sessions: a block ends one, and so does every ``pages``-th page after the last block."""
     order = list(order)
-    kw = {"hot": scan.is_hot(events, keys, group_rows), "segments": segments}
-    out = scan.previous(events.withColumn("_blocked", blocked), keys, order, {"_after_block": "_blocked"}, **kw)
+    out = scan.previous(events.withColumn("_blocked", blocked), keys, order, {"_after_block": "_blocked"}, segments)
     opens = F.coalesce("_after_block", F.lit(False))
     out = scan.running(out, keys, order, {
         "_n": ("sum", F.lit(1).cast("bigint")), "block_sessions": ("sum", opens.cast("bigint")),
-    }, **kw)
-    out = scan.running(out, keys, order, {"_start": ("max", F.when(opens, F.col("_n") - 1))}, **kw)
+    }, segments)
+    out = scan.running(out, keys, order, {"_start": ("max", F.when(opens, F.col("_n") - 1))}, segments)
     position = F.col("_n") - F.coalesce("_start", F.lit(0)) - 1
     return out.withColumn("session_part", F.floor(position / pages)).drop("_blocked", "_after_block", "_n", "_start")
 

@@ -566,5 +566,5 @@ def hot_group_windows(spark, sf):
     """Running values where one key holds a third of all rows, computed in range segments."""
     key = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id"))
     rows = table(spark, sf, "events").select("event_id", "ts", key.alias("key"), F.floor("value").alias("v"))
-    out = scan.running(rows, ["key"], ["ts", "event_id"], {"at": ("sum", F.lit(1).cast("bigint")), "total": ("sum", F.col("v"))}, group_rows=500)
+    out = scan.running(rows, ["key"], ["ts", "event_id"], {"at": ("sum", F.lit(1).cast("bigint")), "total": ("sum", F.col("v"))})
     return out.select("event_id", "at", "total")

@@ -328,12 +328,11 @@ def _parts(spark, sf):
     return table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand")
 
 
-_KEYED = "SELECT DISTINCT p_name AS keyword, min(p_type) OVER (PARTITION BY p_name) AS category FROM part WHERE p_partkey % 50 = 0"
+_KEYED = "SELECT DISTINCT p_name AS keyword, min(p_type) OVER (PARTITION BY p_name) AS category FROM part"
 
 
 def _keywords(spark, sf):
-    rows = _parts(spark, sf).where("p_partkey % 50 = 0")
-    return rows.groupBy(F.col("p_name").alias("keyword")).agg(F.min("p_type").alias("category"), F.min("p_partkey").alias("position"))
+    return _parts(spark, sf).groupBy(F.col("p_name").alias("keyword")).agg(F.min("p_type").alias("category"), F.min("p_partkey").alias("position"))
 
 
 _MODS = "CASE p_partkey % 9 WHEN 0 THEN 'ECU remap ' WHEN 1 THEN 'Cat back exhaust ' WHEN 2 THEN 'Cold air kit ' WHEN 3 THEN 'Rear Wing ' WHEN 4 THEN 'KW lowering ' WHEN 5 THEN 'Alloy ' WHEN 6 THEN 'Akrapovic pedal ' WHEN 7 THEN 'Coolant ' ELSE '' END || p_name"
@@ -347,17 +346,17 @@ def category_regex(spark, sf):
     return rows.select("p_partkey", categories.pattern_category("m").alias("category"), categories.brand("m").alias("brand"))
 
 
-_WORDS = "SELECT DISTINCT lower(split_part(text, ' ', 3)) AS w FROM benchmark WHERE length(split_part(text, ' ', 3)) BETWEEN 2 AND 20"
+_WORDS = "SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE length(w) BETWEEN 5 AND 20"
 
 
 @query("keyword_join", f"""
-WITH t AS (SELECT doc_id, lower(text) AS t FROM documents), w AS ({_WORDS.replace('BETWEEN 2', 'BETWEEN 5')})
+WITH t AS (SELECT doc_id, lower(text) AS t FROM documents), w AS ({_WORDS})
 SELECT doc_id, w AS keyword FROM t JOIN w ON contains(t, w) WHERE length(w) >= 8 OR regexp_matches(' ' || t || ' ', '[^\\p{{L}}\\p{{N}}]' || regexp_escape(w) || '[^\\p{{L}}\\p{{N}}]')""")
 def keyword_join(spark, sf):
     """Dictionary words in whole documents: alone, or inside words from eight letters on."""
     from weftwork.operators.terms import find_terms
 
-    words = table(spark, sf, "benchmark").select(F.lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("w")).where("length(w) between 5 and 20")
+    words = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("w")).where("length(w) between 5 and 20")
     found = find_terms(table(spark, sf, "documents"), "doc_id", "text", words, "w", 5, 8)
     return found.select("doc_id", F.col("term").alias("keyword")).distinct()
 
@@ -388,7 +387,7 @@ def taxonomy_rows(spark, sf):
 
 
 @query("word_overlap", f"""
-WITH k AS (SELECT lower(p_name) AS keyword, min(p_type) AS category FROM part WHERE p_partkey % 50 = 0 GROUP BY 1), n AS (SELECT DISTINCT lower(p_name) AS t FROM part),
+WITH k AS (SELECT lower(p_name) AS keyword, min(p_type) AS category FROM part GROUP BY 1), n AS (SELECT DISTINCT lower(p_name) AS t FROM part),
 s AS (SELECT t, category, CASE WHEN contains(t, keyword) THEN least(length(keyword)::DOUBLE / length(t) + 0.5, 1.0)
   WHEN len(list_filter(list_intersect(string_split(t, ' '), string_split(keyword, ' ')), lambda w: length(w) >= 4)) > 0
   THEN len(list_filter(list_intersect(string_split(t, ' '), string_split(keyword, ' ')), lambda w: length(w) >= 4))::DOUBLE / greatest(len(string_split(t, ' ')), len(string_split(keyword, ' '))) END AS score FROM n, k)

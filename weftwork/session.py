@@ -1,7 +1,10 @@
-"""Session settings and the few size guards the operators share."""
+"""Session settings and the checkpoint folder."""
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,21 +33,21 @@ def local_session(cores: str = "*", app: str = "weftwork", memory: str = "8g") -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints.
+    """The shared folder for checkpoints, named in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where neither that
-    setting nor the context has one, and the session runs on one machine
-    (tests, a laptop), is a new folder made.
+    Where neither that setting nor the context has one, a session of a single
+    process gets a new folder; a cluster gets an error.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="weftwork-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return named
 
@@ -53,17 +56,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once on shared storage and cut its lineage there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-_SPREAD_BYTES_PER_CORE = 32 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Gives a small text table one task per core.
-
-    A small file often holds a single row group, and with it a single task does
-    all the work on it. Tables with enough bytes for every core stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * _SPREAD_BYTES_PER_CORE else df
