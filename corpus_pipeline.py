@@ -1,6 +1,6 @@
 """A training corpus from raw documents, stage by stage; each stage is written as Parquet and read again.
 
-ORACLE_SQL is None: language proportions, MinHash groups and piece paths are beyond SQL. tests/llm/test_pipeline.py
+ORACLE_SQL is None: language proportions, MinHash groups and piece paths are beyond SQL. tests/llm/test_brute_force.py
 holds every stage against a brute-force version instead.
 """
 
