@@ -1,6 +1,11 @@
 """Cases in which an operator or a stage once did less than its whole job."""
 
+import random
+
+import pytest
+
 import corpus_pipeline
+from weftwork.llm import fingerprints
 
 
 def corpus(spark, folder, rows):
@@ -18,3 +23,29 @@ def test_one_of_a_large_group_of_copies_stays(spark, tmp_path):
     cut = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, str(tmp_path)).collect()
     assert {r.doc_id: r.text for r in cut} == {0: text} | {r[0]: r[1] for r in rows[20:]}
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [0, *range(100, 112)]
+
+
+@pytest.mark.parametrize("n", [12, 100, 1000, 1400, 4000, 20000, 70000])
+@pytest.mark.parametrize("mark", [". ", " ", "\n"])
+def test_likeness_of_texts_that_keep_a_half(n, mark):
+    """Half of each text is new, so a third of all shingles is shared, at every length and with or without full stops."""
+    rng = random.Random(n)
+    said = [f"sentence {rng.random()} of this" for _ in range(n)]
+    edited = said[: n // 2] + [f"another {rng.random()} thing" for _ in range(n - n // 2)]
+    assert 0.05 < fingerprints.likeness(*(fingerprints.vector(mark.join(x)) for x in (said, edited))) < 0.6
+
+
+@pytest.mark.parametrize("a,b", [("one two three four", "one two other word"), ("日本語の文章です", "日本語のはなしだ"), ("spam " * 900, "spam " * 450 + "an other end " * 170)])
+def test_likeness_within_one_unit(a, b):
+    assert 0 < fingerprints.likeness(fingerprints.vector(a), fingerprints.vector(b)) < 1
+
+
+def test_long_paragraphs_are_added_and_taken_away(monkeypatch):
+    rng = random.Random(2)
+    a, b, c = (" ".join(str(rng.random()) for _ in range(n)) for n in (700, 3, 90))
+    monkeypatch.setattr(fingerprints, "CHUNK", 1000)
+    cut = {x: fingerprints.as_text(fingerprints.vector(x)) for x in (f"{a}\n{b}\n{c}", f"{c}\n\n{a}\n{b}", f"{a}\n{c}")}
+    assert cut[f"{a}\n{b}\n{c}"] == cut[f"{c}\n\n{a}\n{b}"]
+    less = fingerprints.delete(fingerprints.vector(f"{a}\n{b}\n{c}"), b)
+    assert fingerprints.as_text(less) == cut[f"{a}\n{c}"]
+    assert fingerprints.as_text(fingerprints.insert(fingerprints.from_text(cut[f"{a}\n{c}"]), b)) == cut[f"{a}\n{b}\n{c}"]
