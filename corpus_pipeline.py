@@ -27,12 +27,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines that stand on ten sites or more out of all texts but the first.
+    """Takes lines that stand on ten sites or more, or four if they have over 50 words, out of all texts but the first.
 
     A document that this leaves without any word goes: each of its lines stands in a first document, which keeps it. So
     of a large group of copies one stays. Documents that lose no line all stay, also null and wordless ones.
     """
-    out = line_dedup.line_dedup(docs, min_sites=10)
+    out = line_dedup.line_dedup(docs, min_sites=10, long_sites=4)
     out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 

@@ -49,3 +49,18 @@ def test_long_paragraphs_are_added_and_taken_away(monkeypatch):
     less = fingerprints.delete(fingerprints.vector(f"{a}\n{b}\n{c}"), b)
     assert fingerprints.as_text(less) == cut[f"{a}\n{c}"]
     assert fingerprints.as_text(fingerprints.insert(fingerprints.from_text(cut[f"{a}\n{c}"]), b)) == cut[f"{a}\n{b}\n{c}"]
+
+
+def test_long_lines_need_fewer_sites(spark, tmp_path):
+    """Source hot holds a third of all rows; the passage stands in eight documents, on hot and three other sources."""
+    passage, short = " ".join(f"word{i}" for i in range(51)), " ".join(f"word{i}" for i in range(50))
+    few = passage.replace("word0 ", "term0 ")
+    site = lambda i: "hot" if i % 3 == 0 else f"site{i % 7}"
+    rows = [(i, f"own text number{i} of this page", "en", site(i)) for i in range(60)]
+    for i, source in enumerate(["hot", "hot", "hot", "hot", "hot", "a", "b", "c"]):
+        rows.append((100 + i, f"own start{i}\n{passage}\n{short}\n{few if source < 'c' else ''}", "en", source))
+    rows += [(200, f"one more\n{few}", "en", "hot"), (201, f"and more\n{few}", "en", None)]
+    cut = dict(corpus_pipeline.STAGES)["line_dedup"](spark, corpus(spark, tmp_path, rows), str(tmp_path)).collect()
+    text = {r.doc_id: r.text for r in cut}
+    assert [i for i in text if passage in text[i].split("\n")] == [100] and sum(short in x.split("\n") for x in text.values()) == 8
+    assert {i for i in text if few in text[i].split("\n")} == {r[0] for r in rows if few in r[1].split("\n")}
