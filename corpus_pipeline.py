@@ -20,9 +20,14 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what words are made of, see
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no language: null, or without any letter. ``lang`` becomes the language found."""
+    """Drops texts in no language: null, or without any letter. ``lang`` becomes the language found.
+
+    Where there is no text to learn a language from, it stays as it is.
+    """
     model = language_id.train(docs.where(~held_out()).select("text", "lang"))
-    found = language_id.predict(docs, model).where("lang_pred <> 'und'") if model.languages else docs.where("false").withColumn("lang_pred", F.lit(None).cast("string"))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    found = language_id.predict(docs, model).where("lang_pred <> 'und'")
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -64,3 +64,9 @@ def test_long_lines_need_fewer_sites(spark, tmp_path):
     text = {r.doc_id: r.text for r in cut}
     assert [i for i in text if passage in text[i].split("\n")] == [100] and sum(short in x.split("\n") for x in text.values()) == 8
     assert {i for i in text if few in text[i].split("\n")} == {r[0] for r in rows if few in r[1].split("\n")}
+
+
+def test_texts_stay_where_no_language_is_learnt(spark, tmp_path):
+    rows = [(1, "the cat sat", None, "a"), (2, "日本語", None, "a"), (3, "1 2 !", None, "a"), (4, None, None, "b"), (None, "é", None, None)]
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, corpus(spark, tmp_path, rows), str(tmp_path)).collect()
+    assert {(r.doc_id, r.text, r.lang) for r in kept} == {(1, "the cat sat", None), (2, "日本語", None), (None, "é", None)}
