@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.llm import decontamination, fingerprints, language_id, licences, line_dedup, near_dedup, quality, sentencepiece_codec, token_files, toxicity
+from weftwork.llm import collocations, decontamination, fingerprints, hard_negatives, jaccard_join, language_id, licences, line_dedup, near_dedup, quality, sentencepiece_codec, token_files, toxicity
 from weftwork.llm.common import held_out
 
 
@@ -68,6 +68,20 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_dedup(_table(spark, folder, "documents"), min_sites=10).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(spark, _table(spark, folder, "documents"), size=3, percent=90)
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"), least=10, longest=3, share=50, most=2000)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), every=100, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -79,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LICENCES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.TEMPLATES)
@@ -123,4 +140,47 @@ m AS (SELECT l.*, b.t IS NOT NULL AND b.first <> l.doc_id AS cut FROM l LEFT JOI
 r AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT cut), '') AS text, count(*) AS n_lines, count(*) FILTER (WHERE cut) AS n_removed FROM m GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN r USING (doc_id)""",
+    "op11_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * k >= 90 * (ca.n + cb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(any_value(c.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY 1""",
+    "op12_collocations": r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, w[i:i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)),
+f AS (SELECT lang, array_to_string(p, ' ') AS phrase, any_value(p) AS p, count(*) AS f FROM g GROUP BY 1, 2),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+cut AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(p[1:k], ' ') AS x, array_to_string(p[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM f WHERE f >= 10 AND len(p) > 1)),
+v AS (
+  SELECT cut.*, fx.f AS l, fy.f AS r, (1000000::HUGEINT * a * a) // (fx.f::HUGEINT * fy.f) AS score
+  FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = y),
+best AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best WHERE NOT EXISTS (
+    SELECT 1 FROM f o WHERE o.lang = best.lang AND len(o.p) = 3 AND o.f >= 10 AND o.phrase <> best.phrase AND 100 * o.f >= 50 * best.a
+      AND (array_to_string(o.p[1:2], ' ') = best.phrase OR array_to_string(o.p[2:3], ' ') = best.phrase)))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM (
+  SELECT kept.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) JOIN total USING (lang) WHERE rank <= 2000""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, label, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
+s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.i = b.i WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) QUALIFY row_number() OVER w <= 5""",
 }
