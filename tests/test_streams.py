@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from weftwork import schemas
 from weftwork.operators import aggregates, windows
-from weftwork.streaming import streams
+from weftwork.streaming import seen, streams
 
 
 @pytest.fixture(scope="module")
@@ -39,21 +39,18 @@ def expected_runs(log):
     return windows.with_backoff(runs).select("source", "event_id", "status", "run", "backoff_s", "should_stop")
 
 
-def test_block_runs_keep_state(spark, log, folder, tmp_path):
-    streams.write_available(streams.block_runs(arriving(spark, folder, log)), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(expected_runs(log))
-
-
-def test_block_runs_by_batch(spark, log, folder, tmp_path):
+def test_block_runs_over_triggers(spark, log, folder, tmp_path):
     streams.write_block_runs(arriving(spark, folder, log), str(tmp_path / "out"), str(tmp_path / "cp"))
     out = spark.read.parquet(str(tmp_path / "out/rows")).select("source", "event_id", "status", "run", "backoff_s", "should_stop")
     assert rows(out) == rows(expected_runs(log))
+    assert sorted(p.name for p in (tmp_path / "out/state").iterdir()) == ["batch_id=1", "batch_id=2"]
 
 
-def test_alerts(spark, log, folder, tmp_path):
-    streams.write_available(streams.status_alerts(arriving(spark, folder, log)), str(tmp_path / "out"), str(tmp_path / "cp"))
+def test_alerts_over_triggers(spark, log, folder, tmp_path):
+    streams.write_status_alerts(arriving(spark, folder, log), str(tmp_path / "out"), str(tmp_path / "cp"))
     want = windows.transitions(log, ["source"], ["ts", "event_id"], into=["blocked", "error", "hitl"]).select("source", "event_id", "status", "previous_status")
-    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(str, want.collect()))
+    out = spark.read.parquet(str(tmp_path / "out/rows")).drop("batch_id")
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
 
 
 def test_counters_in_update_mode(spark, log, folder, tmp_path):
@@ -63,10 +60,39 @@ def test_counters_in_update_mode(spark, log, folder, tmp_path):
     assert rows(last) == rows(aggregates.progress_counts(log, ["source"]))
 
 
-def test_dedup_across_triggers(spark, log, folder, tmp_path):
-    keyed = arriving(spark, folder, log).select("source", "ts")
-    streams.write_available(streams.new_urls(keyed, "source"), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == log.select("source").distinct().count()
+def test_first_seen_across_triggers(spark, log, folder, tmp_path):
+    keyed = arriving(spark, folder, log).select("source", "ts", "event_id")
+    seen.write_first_seen(keyed, "source", str(tmp_path / "out"), str(tmp_path / "cp"), ["ts"])
+    first = log.groupBy("source").agg(F.min("event_id"))
+    assert rows(spark.read.parquet(str(tmp_path / "out/rows")).select("source", "event_id")) == rows(first)
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    out, schema = str(tmp_path), "url string, n int"
+    put = lambda rows_, n: seen.add_batch(spark.createDataFrame(rows_, schema), "url", out, n, ["n"], buckets=3)
+    put([("a", 2), ("b", 1), ("a", 1), (None, 7)], 0)
+    put([("a", 0), ("c", 3), (None, 1)], 1)
+    put([("a", 0), ("c", 4), (None, 1), ("null", 5), ("=", 6)], 1)
+    put([(f"k{i}", i) for i in range(50)] + [("c", 1), ("", 9)], 2)
+    got = {(r.batch_id, r.url, r.n) for r in spark.read.parquet(f"{out}/rows").collect()}
+    assert got == {(0, "a", 1), (0, "b", 1), (0, None, 7), (1, "c", 4), (1, "null", 5), (1, "=", 6), (2, "", 9)} | {(2, f"k{i}", i) for i in range(50)}
+
+
+def test_full_filters_lose_nothing(spark, tmp_path):
+    """A filter of one byte takes every key for seen; the buckets then tell."""
+    for n in range(3):
+        batch = spark.range(n * 20, n * 20 + 40).select(F.col("id").cast("string").alias("url"))
+        seen.add_batch(batch, "url", str(tmp_path), n, buckets=4, filter_bytes=1)
+    got = [(int(r.url), r.batch_id) for r in spark.read.parquet(f"{tmp_path}/rows").collect()]
+    assert sorted(got) == [(i, 0 if i < 40 else 1 if i < 60 else 2) for i in range(80)]
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    for n in range(2):
+        seen.add_batch(spark.range(n * 500, n * 500 + 500).select(F.col("id").cast("string").alias("url")), "url", str(tmp_path), n, buckets=8)
+    known = seen.known_keys(spark, str(tmp_path), [3], 2)
+    assert all("bucket=3" in f for f in known.inputFiles()) or "PartitionFilters: [isnotnull(bucket" in known._jdf.queryExecution().toString()
+    assert known.count() == spark.read.parquet(f"{tmp_path}/keys").where("bucket = 3").count()
 
 
 def test_stall_alert(spark, tmp_path):
@@ -102,8 +128,8 @@ def test_a_url_seen_long_ago_is_not_new(spark, tmp_path):
     for day in (1, 20, 2):
         spark.sql(f"SELECT 'u' AS url, TIMESTAMP'2024-01-{day:02d} 00:00:00' AS ts").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("url string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    streams.write_available(streams.new_urls(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    seen.write_first_seen(stream, "url", str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert spark.read.parquet(str(tmp_path / "out/rows")).count() == 1
 
 
 def test_progress_reader(spark, tmp_path):

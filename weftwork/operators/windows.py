@@ -46,15 +46,8 @@ def repeats(df: DataFrame, keys: Sequence[str], order: str, name: str = "is_repe
 
 
 def run_lengths(events: DataFrame, keys: Sequence[str], order: Sequence, hit: Column, reset: Column, name: str = "run", segments: int | None = None) -> DataFrame:
-    """Consecutive hits up to each row; a reset starts again at 0, other rows leave the count.
-
-    The count at a row is the hits so far minus the hits so far at the last reset.
-    """
-    order = list(order)
-    counted = scan.running(events, keys, order, {"_hits": ("sum", F.when(hit, 1).otherwise(0).cast("bigint"))}, segments)
-    at_reset = F.when(reset, F.col("_hits"))
-    out = scan.running(counted, keys, order, {"_base": ("max", at_reset)}, segments)
-    return out.withColumn(name, F.col("_hits") - F.coalesce("_base", F.lit(0))).drop("_hits", "_base")
+    """Consecutive hits up to each row; a reset starts again at 0, other rows leave the count."""
+    return scan.scans(events, keys, list(order), {name: ("since", hit, reset)}, segments)
 
 
 def with_backoff(runs: DataFrame, run: str = "run") -> DataFrame:
@@ -92,15 +85,12 @@ def batches(df: DataFrame, order: Sequence, size: int, keys: Sequence[str] = (),
 
 def sessions(events: DataFrame, keys: Sequence[str], order: Sequence, blocked: Column, pages: int = vocab.SESSION_PAGES, segments: int | None = None) -> DataFrame:
     """Fetch sessions: a block ends one, and so does every ``pages``-th page after the last block."""
-    order = list(order)
-    out = scan.previous(events.withColumn("_blocked", blocked), keys, order, {"_after_block": "_blocked"}, segments)
-    opens = F.coalesce("_after_block", F.lit(False))
-    out = scan.running(out, keys, order, {
-        "_n": ("sum", F.lit(1).cast("bigint")), "block_sessions": ("sum", opens.cast("bigint")),
+    out = scan.scans(events, keys, list(order), {
+        "block_sessions": ("sum", blocked.cast("bigint")), "session_part": ("since_before", F.lit(1), blocked),
     }, segments)
-    out = scan.running(out, keys, order, {"_start": ("max", F.when(opens, F.col("_n") - 1))}, segments)
-    position = F.col("_n") - F.coalesce("_start", F.lit(0)) - 1
-    return out.withColumn("session_part", F.floor(position / pages)).drop("_blocked", "_after_block", "_n", "_start")
+    # A session opens after a block, so the blocks before the row count, not the row's own.
+    own = F.coalesce(blocked.cast("bigint"), F.lit(0))
+    return out.withColumns({"block_sessions": F.coalesce("block_sessions", F.lit(0)) - own, "session_part": F.floor(F.col("session_part") / pages)})
 
 
 def within_quota(events: DataFrame, n: int, order: Sequence, ts: str = "ts", keys: Sequence[str] = ()) -> DataFrame:

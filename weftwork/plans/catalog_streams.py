@@ -16,7 +16,7 @@ from weftwork.plans.catalog_events import _RUN
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
 from weftwork.session import checkpoint_dir
-from weftwork.streaming import streams
+from weftwork.streaming import seen, streams
 
 # As many files as one trigger should read; the table given here is one file.
 _GLOB = "event[s].parquet"
@@ -37,6 +37,13 @@ def _run(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(schema).parquet(f"{home}/out")
 
 
+def _run_in_order(write, stream: DataFrame) -> DataFrame:
+    spark = stream.sparkSession
+    home = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    write(stream, f"{home}/out", f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/out/rows").drop("batch_id")
+
+
 @query("stream_status_counts", with_ctes("log", "SELECT source, count(*) FILTER (WHERE status = 'success') AS success, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'blocked') AS blocked FROM log GROUP BY source"))
 def stream_status_counts(spark, sf):
     """Running counters per source; the last state of each is kept."""
@@ -47,8 +54,9 @@ def stream_status_counts(spark, sf):
 def stream_dedup(spark, sf):
     """Each key once, ever."""
     keyed = _events(spark, sf).withColumn("key", F.concat_ws("/", "user_id", "event_type"))
-    fresh = streams.new_urls(keyed.select("key", "ts", "user_id", "event_type"), "key")
-    return _run(fresh).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    seen.write_first_seen(keyed.select("key", "ts", "user_id", "event_type"), "key", out, f"{out}/checkpoint", ["ts"])
+    return spark.read.parquet(f"{out}/rows").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 _LAST = "SELECT max(ts) FROM events"
@@ -94,8 +102,8 @@ def stream_idle_gaps(spark, sf):
 
 @query("stream_block_runs", with_ctes("log", _RUN + "SELECT event_id, source, status, run, least(300 * 2 ** run, 1800)::BIGINT AS backoff_s, run >= 5 AS should_stop FROM r"))
 def stream_block_runs(spark, sf):
-    """Consecutive blocks with keyed state."""
-    return _run(streams.block_runs(standins.log_of(_events(spark, sf))))
+    """Consecutive blocks over triggers, whatever the size of a source."""
+    return _run_in_order(streams.write_block_runs, standins.log_of(_events(spark, sf)))
 
 
 @query("stream_transitions", """
@@ -105,7 +113,7 @@ def stream_transitions(spark, sf):
     kind = F.col("event_type")
     status = F.when(kind == "error", "error").when(kind == "signup", "blocked").otherwise("ok")
     rows = _events(spark, sf).select(F.concat(F.lit("site_"), F.col("user_id").cast("string")).alias("source"), "event_id", "ts", status.alias("status"))
-    return _run(streams.status_alerts(rows))
+    return _run_in_order(streams.write_status_alerts, rows)
 
 
 @query("stream_stall_alerts", """

@@ -56,3 +56,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once on shared storage and cut its lineage there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder wherever Spark can reach it; nothing happens if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -6,7 +6,7 @@ answers. Keyed state is one small record per source.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from weftwork import schemas, vocab
 from weftwork.operators import aggregates, extraction, scan, windows
+from weftwork.session import remove
 
 # State operators keep their values in RocksDB, which spills to disk.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,14 +41,6 @@ def status_counters(log: DataFrame, keys: list[str]) -> DataFrame:
     return aggregates.progress_counts(log, keys)
 
 
-def new_urls(log: DataFrame, key: str = "url") -> DataFrame:
-    """Each URL once, however late it comes again.
-
-    "Ever seen" has no end, so the keys stay in the state store (RocksDB, on the executors' disks) for the stream's life.
-    """
-    return log.dropDuplicates([key])
-
-
 def daily_quota(log: DataFrame, limit: int, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Requests per source and day, and whether the day's limit is used up."""
     days = log.withWatermark(ts, delay).groupBy(F.window(ts, "1 day"), *keys).agg(F.count(F.lit(1)).alias("count"))
@@ -73,58 +66,6 @@ def idle_gaps(log: DataFrame, keys: list[str], ts: str = "ts", gap: str = "10 mi
     return stretches.select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("stalled_at"), "events")
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """One source's rows of one trigger by event time.
-
-    They are three narrow columns and a trigger is bounded by the reader's
-    ``maxFilesPerTrigger``; sources too hot for that go through
-    ``write_block_runs``, which needs no group in one task.
-    """
-    return pd.concat(list(rows)).sort_values(["ts", "event_id"])
-
-
-class BlockRuns(StatefulProcessor):
-    """Consecutive blocks per source with the wait they call for; the state is one number."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "run bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run = int(self.run.get()[0]) if self.run.exists() else 0
-        out = []
-        for event_id, status in _in_order(rows)[["event_id", "status"]].itertuples(index=False):
-            run = run + 1 if status == "blocked" else 0 if status == "success" else run
-            wait = min(vocab.BACKOFF_START_S * 2 ** min(run, 20), vocab.BACKOFF_MAX_S)
-            out.append((key[0], event_id, status, run, wait, run >= vocab.STOP_AFTER_BLOCKS))
-        self.run.update((run,))
-        yield pd.DataFrame(out, columns=["source", "event_id", "status", "run", "backoff_s", "should_stop"])
-
-    def close(self) -> None:
-        pass
-
-
-class StatusAlerts(StatefulProcessor):
-    """One row when a source enters a status that needs attention."""
-
-    alarming = ("blocked", "error", "hitl")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "status string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for event_id, status in _in_order(rows)[["event_id", "status"]].itertuples(index=False):
-            if status in self.alarming and status != last:
-                out.append((key[0], event_id, status, last))
-            last = status
-        self.last.update((last,))
-        yield pd.DataFrame(out, columns=["source", "event_id", "status", "previous_status"])
-
-    def close(self) -> None:
-        pass
-
-
 class StallTimer(StatefulProcessor):
     """A row when a source has been silent for the stall time while work remains.
 
@@ -161,21 +102,6 @@ class StallTimer(StatefulProcessor):
         pass
 
 
-RUN_SCHEMA = "source string, event_id bigint, status string, run bigint, backoff_s bigint, should_stop boolean"
-ALERT_SCHEMA = "source string, event_id bigint, status string, previous_status string"
-
-
-def block_runs(log: DataFrame) -> DataFrame:
-    """(source, event_id, ts, status) → run length, wait and stop flag per row."""
-    rows = log.select("source", "event_id", "ts", "status")
-    return rows.groupBy("source").transformWithStateInPandas(BlockRuns(), RUN_SCHEMA, "Append", "None")
-
-
-def status_alerts(log: DataFrame) -> DataFrame:
-    rows = log.select("source", "event_id", "ts", "status")
-    return rows.groupBy("source").transformWithStateInPandas(StatusAlerts(), ALERT_SCHEMA, "Append", "None")
-
-
 def stall_alerts(log: DataFrame, delay: str = "1 minute") -> DataFrame:
     rows = log.where("ts IS NOT NULL").withWatermark("ts", delay)
     rows = rows.select("source", "ts", F.unix_millis("ts").alias("ms"), F.coalesce("remaining", F.lit(0)).alias("remaining"))
@@ -183,38 +109,46 @@ def stall_alerts(log: DataFrame, delay: str = "1 minute") -> DataFrame:
     return found.select("source", F.timestamp_millis("stalled_ms").alias("stalled_at"))
 
 
-def write_block_runs(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """``block_runs`` for sources of any size: each trigger is a distributed batch job.
+def _write_in_order(log: DataFrame, path: str, checkpoint: str, columns: dict[str, tuple], shape) -> StreamingQuery:
+    """Ordered logic per source over triggers; no source has to fit one task.
 
-    Runs are counted with segmented windows; the run a source ended the last
-    trigger with is a small table next to the rows. Folders carry the batch
-    number, so a repeated batch replaces itself.
+    Each trigger is a distributed batch job: what a range segment does to the state that enters it composes with the
+    other segments (``scan.scans_and_state``), and the state each source left the last trigger with is a small table that
+    enters the first of them. Folders below ``path`` carry the batch number, so a repeated batch replaces itself:
+    ``rows/`` has what ``shape`` makes of the rows, ``state/`` the sources of the last two batches.
     """
     spark = log.sparkSession
-    status = F.col("status")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("source", "event_id", "ts", "status")
-        if batch_id == 0:
-            before = rows.select("source", F.lit(0).cast("bigint").alias("before")).limit(0)
-        else:
-            before = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
-        order = ["ts", "event_id"]
-        runs = windows.run_lengths(rows, ["source"], order, status == "blocked", status == "success")
-        runs = scan.running(runs, ["source"], order, {"_resets": ("sum", F.when(status == "success", 1).otherwise(0).cast("bigint"))})
-        carried = F.when(F.col("_resets") == 0, F.coalesce("before", F.lit(0))).otherwise(0)
-        out = runs.join(before, "source", "left").withColumn("run", F.col("run") + carried).select("source", "event_id", "ts", "status", "run")
-        windows.with_backoff(out).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        done = spark.read.parquet(f"{path}/rows/batch_id={batch_id}")
-        last = done.groupBy("source").agg(F.max_by("run", F.struct("ts", "event_id")).alias("_run"))
-        state = before.join(last, "source", "full_outer").select("source", F.coalesce("_run", "before").alias("before"))
+        before = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}") if batch_id else None
+        out, state = scan.scans_and_state(rows, ["source"], ["ts", "event_id"], columns, before)
+        shape(out).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
         state.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+        remove(spark, f"{path}/state/batch_id={batch_id - 2}")
 
     query = log.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def write_block_runs(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """(source, event_id, ts, status) → consecutive blocks up to each row, the wait they call for and the stop flag."""
+    status = F.col("status")
+    columns = {"run": ("since", status == "blocked", status == "success")}
+    return _write_in_order(log, path, checkpoint, columns, lambda rows: windows.with_backoff(rows).select("source", "event_id", "status", "run", "backoff_s", "should_stop"))
+
+
+def write_status_alerts(log: DataFrame, path: str, checkpoint: str, into: Sequence[str] = ("blocked", "error", "hitl")) -> StreamingQuery:
+    """(source, event_id, ts, status) → one row where a source enters a status that needs attention."""
+
+    def alerts(rows: DataFrame) -> DataFrame:
+        entered = F.col("status").isin(list(into)) & ~F.col("previous_status").eqNullSafe(F.col("status"))
+        return rows.where(entered).select("source", "event_id", "status", "previous_status")
+
+    return _write_in_order(log, path, checkpoint, {"previous_status": ("previous", "status")}, alerts)
+
+
 def extract_builds(pages: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Build records of newly arrived pages."""
     return extraction.builds(pages, vehicles)
