@@ -64,8 +64,8 @@ def test_prefixes_hold_the_first_common_shingle():
         x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         y = np.unique(np.append(x[rng.random(len(x)) < 0.95], rng.integers(0, 2**63, 3).astype(np.uint64)))
         if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y)):
-            for p, q in zip(jaccard_join.prefixes(x, counts, 80), jaccard_join.prefixes(y, counts, 80)):
-                assert set(p.tolist()) & set(q.tolist())
+            for o in range(jaccard_join.ORDERS):
+                assert set(jaccard_join.prefix(x, counts, o, 80).tolist()) & set(jaccard_join.prefix(y, counts, o, 80).tolist())
 
 
 def plain_collocations(rows, least, longest, share, most):

@@ -64,21 +64,18 @@ def _at_least(n, percent: int):
     return -(-n * percent // 100)
 
 
-def prefixes(shingles: np.ndarray, counts: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The first shingles of a set in each order: rare counters first, then by hash."""
-    n, out = len(shingles), []
-    keep = n - _at_least(n, percent) + 1
-    for o in range(len(counts)):
-        at, h = _ordered(shingles, o)
-        out.append(shingles[np.lexsort((h, counts[o][at]))[:keep]])
-    return out
+def prefix(shingles: np.ndarray, counts: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The first shingles of a set in an order: rare counters first, then by hash."""
+    n = len(shingles)
+    at, h = _ordered(shingles, order)
+    return shingles[np.lexsort((h, counts[order][at]))[: n - _at_least(n, percent) + 1]]
 
 
 def _signer(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in parts(batches, "text", TEXT_BYTES):
-            n, high, low, firsts = [], [], [], []
+            n, high, low, first = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingle_set(blank_words(text), size)
                 n.append(len(found))
@@ -86,19 +83,20 @@ def _signer(shared, size: int, percent: int):
                 high.append(int(digest[0])), low.append(int(digest[1]))
                 # A set so small that one shingle more or less is too much is linked with its equals alone.
                 alone = not len(found) or 100 * len(found) < percent * (len(found) + 1)
-                firsts.append(None if alone else [p.view(np.int64) for p in prefixes(found, counts, percent)])
-            new = [pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64())))]
-            old = [(c, f.name) for c, f in zip(batch.columns, batch.schema) if f.name != "text"]
-            yield pa.RecordBatch.from_arrays([*(c for c, _ in old), *new], [*(x for _, x in old), "n", "high", "low", "firsts"])
+                first.append(None if alone else prefix(found, counts, 0, percent).view(np.int64))
+            new = [pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *new], ["doc_id", "key", "n", "high", "low", "first"])
 
     return run
 
 
-def _sets(size: int):
+def _sets(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in parts(batches, "text", TEXT_BYTES):
-            sets = [shingle_set(blank_words(t), size).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [shingle_set(blank_words(t), size) for t in batch.column("text").to_pylist()]
+            firsts = [[prefix(s, counts, o, percent).view(np.int64) for o in range(1, ORDERS)] for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64()))), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "firsts", "shingles"])
 
     return run
 
@@ -135,10 +133,10 @@ def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return out
 
 
-def _agreed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _agreed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose prefixes allow a link in every order but the first, by which they were found."""
-    both = _beside(pairs, nodes, "n", "firsts")
-    for o in range(1, ORDERS):
+    both = _beside(pairs, sets, "n", "firsts")
+    for o in range(ORDERS - 1):
         left, right = F.get("a_firsts", F.lit(o)), F.get("b_firsts", F.lit(o))
         first = F.get(F.array_intersect(left, right), F.lit(0))  # in the order of the left one
         both = both.withColumns({f"_x{o}": F.array_position(left, first) - 1, f"_y{o}": F.array_position(right, first) - 1})
@@ -146,16 +144,16 @@ def _agreed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b")
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are linked, by their whole sets. Stored."""
-    whole = _beside(stored(_agreed(pairs, nodes, percent)), sets, "shingles")
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked: those that all orders allow, by their whole sets. Stored."""
+    whole = _beside(stored(_agreed(pairs, sets, percent)), sets, "shingles")
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
     return stored(whole.where(common * 100 >= (F.size("a_shingles") + F.size("b_shingles") - common) * percent).select("a", "b"))
 
 
 def _shared(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """token, node, n, at, often: the tokens of the first order's prefixes that two nodes or more hold, stored; and the hot ones."""
-    every = nodes.select("node", "n", F.posexplode(F.get("firsts", F.lit(0))).alias("at", "token"))
+    every = nodes.select("node", "n", F.posexplode("first").alias("at", "token"))
     common = stored(every.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"))
     hot = small(stored(common.where(F.col("often") > SPLIT).select("token", F.ceil(F.col("often") / SPLIT).cast("long").alias("_parts"))), BROADCAST_ROWS)
     return stored(_dealt(every, "token", "node", common, hot)), hot
@@ -196,25 +194,27 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, size: int = 3, perc
     empty result. Other columns are ignored, whatever their names.
     """
     texts = docs.select("doc_id", "text")
-    shared = spark.sparkContext.broadcast(token_counts(texts, size))
+    shared = spark.sparkContext.broadcast(token_counts(texts, size))  # ORDERS * COUNTERS numbers
     keyed = texts.withColumn("key", F.xxhash64("text"))
-    signed = stored(keyed.mapInArrow(_signer(shared, size, percent), "doc_id long, key long, n long, high long, low long, firsts array<array<long>>"))
-    shared.destroy()
+    signed = stored(keyed.mapInArrow(_signer(shared, size, percent), "doc_id long, key long, n long, high long, low long, first array<long>"))
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("head")
-    classes = signed.where("n > 0").groupBy("high", "low").agg(head, F.first("n").alias("n"), F.first("firsts").alias("firsts"))
+    classes = signed.where("n > 0").groupBy("high", "low").agg(head, F.first("n").alias("n"), F.first("first").alias("first"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    entries, hot = _shared(classes.where("firsts IS NOT NULL"))
-    sharing = stored(entries.select("node").distinct())
-    nodes = stored(classes.join(sharing, "node", "left_semi").select("node", "n", "firsts", F.col("head.doc_id").alias("_id"), F.col("head.key").alias("_text")))
-    wanted = small(stored(nodes.select("node", "_id", "_text")), BROADCAST_ROWS)
-    found = texts.select("text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
-    whole = found.join(wanted, same_document(found, wanted)).select("node", "text")
-    sets = stored(whole.mapInArrow(_sets(size), "node long, shingles array<long>").dropDuplicates(["node"]))
-
-    first = _linked(_star_pairs(entries, hot, percent), nodes, sets, percent)
-    more = _linked(_cross_pairs(entries, hot, components(first), percent), nodes, sets, percent)
-    roots = components(first.union(more))
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = stored(classes.join(nodes, "node", "left_semi").select("node", F.col("head.doc_id").alias("_id"), F.col("head.key").alias("_text")))
+        wanted = small(wanted, BROADCAST_ROWS)
+        found = texts.select("text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
+        whole = found.join(wanted, same_document(found, wanted)).select("node", "text")
+        return stored(whole.mapInArrow(_sets(shared, size, percent), "node long, n long, firsts array<array<long>>, shingles array<long>").dropDuplicates(["node"]))
+
+    entries, hot = _shared(classes.where("first IS NOT NULL"))
+    stars = _star_pairs(entries, hot, percent)
+    first = _linked(stars, sets_of(stars), percent)
+    crossing = _cross_pairs(entries, hot, components(first), percent)
+    roots = components(first.union(_linked(crossing, sets_of(crossing), percent)))
+    shared.destroy()
 
     placed = classes.join(roots, "node", "left").select("high", "low", "head", F.coalesce("root", "node").alias("root"))
     heads = placed.groupBy("root").agg(F.min(F.struct("head.none", "head.doc_id")).alias("least"))
