@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftwork.functions import pages as P
-from weftwork.operators import aggregates, categories, extraction, filters, ordering, scan, windows
+from weftwork.operators import aggregates, categories, extraction, filters, ordering, scan, similar, windows
 
 SOURCES = [
     ("s1", "Site 1", "pending", 1, 10, 0, 0, 0, None, None), ("s2", "Site 2", "in_progress", 2, 20, 5, 0, 0, None, None),
@@ -119,7 +119,7 @@ def test_extraction(spark):
 
 
 def test_component_similarity_is_gestalt():
-    assert categories.gestalt_ratio("abcd", "bcde") == 0.75
+    assert similar.gestalt_ratio("abcd", "bcde") == 0.75
 
 
 def test_bounded_samples(spark):

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from weftwork.operators import scan
+from weftwork.operators import scan, similar
 from weftwork.plans.registry import table
 
 QUERIES = contract.queries()
@@ -33,7 +33,7 @@ def test_groups_are_limited_before_the_shuffle(spark, data):
     assert text.index("WindowGroupLimit") < text.rindex("Exchange") < text.rindex("WindowGroupLimit")
 
 
-def test_similarity_stays_above_the_distinct(spark, data):
-    text = plan(QUERIES["fuzzy_components"](spark, data))
-    assert text.count("ArrowEvalPython") == 1
-    assert text.index("ArrowEvalPython") < text.index("REPARTITION_BY_NUM")
+def test_similar_names_meet_by_equality(spark, data):
+    parts = table(spark, data, "part").select("p_name").distinct()
+    text = plan(similar.candidates(parts, "p_name", parts.withColumnRenamed("p_name", "term"), "term", 0.8))
+    assert "_band" in text and "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftwork.operators import categories, joins, scan, windows
+from weftwork.operators import categories, joins, scan, similar, windows
 from weftwork.operators.terms import find_terms
 from weftwork.sources.writers import url_envelopes
 
@@ -93,12 +93,11 @@ def brute(texts, words, min_length, alone_below):
     return out
 
 
-@pytest.mark.parametrize("automaton_terms", [100, 0])
 @pytest.mark.parametrize("min_length, alone_below", [(1, None), (1, 8), (5, 8), (3, 4)])
-def test_find_terms(spark, min_length, alone_below, automaton_terms):
+def test_find_terms(spark, min_length, alone_below):
     texts = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string")
     terms = spark.createDataFrame([(w,) for w in WORDS], "w string")
-    found = find_terms(texts, "id", "text", terms, "w", min_length, alone_below, automaton_terms)
+    found = find_terms(texts, "id", "text", terms, "w", min_length, alone_below)
     assert {tuple(r) for r in found.collect()} == brute(TEXTS, WORDS, min_length, alone_below)
 
 
@@ -109,25 +108,52 @@ def test_find_terms_with_many_lengths(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     terms = spark.createDataFrame([(w,) for w in words], "w string")
     for alone_below in (None, 8):
-        found = find_terms(df, "id", "text", terms, "w", 1, alone_below, automaton_terms=0)
+        found = find_terms(df, "id", "text", terms, "w", 1, alone_below)
         assert {tuple(r) for r in found.collect()} == brute(texts, set(words), 1, alone_below)
 
 
-def test_component_chunks(spark):
+@pytest.mark.parametrize("least,first", [(0.5, 0.8), (0.8, 0.8), (0.3, 0.9)])
+def test_most_similar_against_all_pairs(spark, least, first):
     rng = random.Random(5)
-    rows_ = [("".join(rng.choice("abcde") for _ in range(rng.randrange(3, 9))), f"c{i % 4}", i) for i in range(60)]
-    components = spark.createDataFrame(rows_, "component string, category string, position bigint")
-    names = spark.createDataFrame([("".join(rng.choice("abcdef") for _ in range(6)),) for _ in range(25)], "n string")
-    whole = categories.best_component(names, "n", components)
-    cut = categories.best_component(names, "n", components, closure_terms=5)
-    assert rows(whole.select("n", "component", "score")) == rows(cut.select("n", "component", "score"))
-    # Brute force: the first of the best.
-    index = {}
-    for c, _, p in rows_:
-        index.setdefault(c, p)
-    for r in whole.collect():
-        best = max(index, key=lambda c: (categories.gestalt_ratio(r.n, c), -index[c]))
-        assert best == r.component
+    word = lambda letters, a, b: "".join(rng.choice(letters) for _ in range(rng.randrange(a, b)))
+    terms = list(dict.fromkeys(word("abcde é😀", 1, 12) for _ in range(70)))
+    texts = {word("abcdefé😀 ", 1, 14) for _ in range(80)} | {t + "x" for t in terms[:20]} | {"", "zzzz"}
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, position bigint")
+    got = similar.most_similar(spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string"), "text", df, "term", "position", least, first)
+    want = set()
+    for t in texts:
+        score, at = max((similar.gestalt_ratio(t, c), -i) for i, c in enumerate(terms)) if t else (0, 0)
+        if score >= least:
+            want.add((t, terms[-at], -at, score))
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_similar_pairs_are_few(spark):
+    """Names of other letters or other lengths never meet."""
+    names = spark.range(400).select(F.concat(F.lit("part "), F.md5(F.col("id").cast("string"))).alias("n"))
+    terms = names.select(F.concat("n", F.lit("s")).alias("term"))
+    assert 400 <= similar.candidates(names, "n", terms, "term", 0.9).count() < 8_000
+    assert similar.candidates(names, "n", spark.sql("SELECT 'p' AS term"), "term", 0.8).count() == 0
+
+
+def test_a_word_in_every_name(spark):
+    """Each name and each keyword holds the word "kit"-like common one; only what shares more is paired."""
+    rng = random.Random(8)
+    pool = ["brake", "turbo", "wheel", "cold", "air", "intake", "a", "rear"]
+    phrase = lambda: " ".join(["common", *rng.sample(pool, rng.randrange(0, 4))])
+    keywords = [(phrase() if i % 9 else rng.choice(pool) + "s", f"c{i % 5}", i) for i in range(120)]
+    names = {" ".join(rng.sample(["common", *pool, "brakes"], rng.randrange(1, 5))) for _ in range(60)}
+    df = spark.createDataFrame(keywords, "keyword string, category string, position bigint")
+    got = categories.word_overlap(spark.createDataFrame([(n,) for n in names], "n string"), "n", df)
+    want = {}
+    for n in names:
+        for k, c, _ in keywords:
+            mine, its = set(n.split()), set(k.split())
+            shared = [w for w in mine & its if len(w) >= 4]
+            score = min(len(k) / len(n) + 0.5, 1.0) if k in n else len(shared) / max(len(mine), len(its))
+            if score > 0:
+                want[n, c] = max(want.get((n, c), 0), score)
+    assert {(r.n, r.category): r.score for r in got.collect()} == want
 
 
 def test_envelopes_lose_nothing(spark):

@@ -7,25 +7,18 @@ same word overwrites its category; the first row keeps the position.
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weftwork import vocab
 from weftwork.functions.text import normalize_name
 from weftwork.functions.urls import _col, any_match
+from weftwork.operators import similar
 from weftwork.operators.terms import find_terms
 from weftwork.session import checkpointed
 
-# Above this the component names are joined in as chunks instead of sent with the function.
-_CLOSURE_TERMS = 5000
-_CHUNK_TERMS = 1000
-_SCORE = T.StructType([T.StructField("component", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("position", T.LongType())])
-
 
 def pattern_category(name) -> Column:
     """Ordered pattern rules, first match wins, else ``Other``."""
@@ -84,78 +77,22 @@ def best_keyword(names: DataFrame, text: str, keywords: DataFrame, min_length: i
     return best.select(text, "best.*")
 
 
-def gestalt_ratio(a: str, b: str) -> float:
-    """Similarity of two strings: twice the matched characters over both lengths."""
-    return SequenceMatcher(None, a, b).ratio()
-
-
-def similarity(a, b) -> Column:
-    """``gestalt_ratio`` of two columns, lower-cased; null in, null out."""
-
-    @F.pandas_udf(T.DoubleType())
-    def score(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else gestalt_ratio(x, y) for x, y in zip(left, right)], dtype="float64")
-
-    return score(F.lower(_col(a)), F.lower(_col(b)))
-
+def best_component(names: DataFrame, text: str, components: DataFrame, least: float = 0.5) -> DataFrame:
+    """(text, component, category, score): the most similar component of each distinct text, from ``least`` on; the first of equals."""
+    index = checkpointed(_index(components, "component"))
+    found = similar.most_similar(names, text, index, "component", "position", least)
+    return found.join(index.select("component", "category"), "component").select(text, "component", "category", "score")
 
-def _prepared(terms: list[tuple[str, int]]) -> list[tuple]:
-    """Each term with a matcher that has it indexed."""
-    return [(term, position, SequenceMatcher(None, "", term)) for term, position in terms]
 
+def _words(text) -> Column:
+    return F.array_distinct(F.filter(F.split(F.trim(F.lower(text)), r"\s+"), lambda w: w != ""))
 
-def _closest(name: str, terms: list[tuple]) -> tuple:
-    """Most similar term; the first of equals. Terms that cannot win by length or letters are skipped."""
-    best = (None, 0.0, None)
-    for term, position, matcher in terms:
-        if 2.0 * min(len(name), len(term)) <= best[1] * (len(name) + len(term)):
-            continue
-        matcher.set_seq1(name)
-        if matcher.quick_ratio() <= best[1]:
-            continue
-        score = matcher.ratio()
-        if score > best[1]:
-            best = (term, score, position)
-    return best
 
-
-def best_component(names: DataFrame, text: str, components: DataFrame, closure_terms: int = _CLOSURE_TERMS) -> DataFrame:
-    """(text, component, category, score): the most similar component of each distinct text.
-
-    Up to ``closure_terms`` components travel with the function; more are joined
-    in as chunks of bounded size and the best of the chunks is kept.
-    """
-    # A fixed number of partitions: few short names would be merged into one slow Python task.
-    cores = names.sparkSession.sparkContext.defaultParallelism
-    distinct = names.select(text).where(F.col(text).isNotNull()).distinct().repartition(cores * 2, text)
-    index = _index(components, "component")
-    few = index.select("component", "position").limit(closure_terms + 1).collect()
-    if len(few) <= closure_terms:
-        terms = sorted(((r[0], r[1]) for r in few), key=lambda t: t[1])
-
-        @F.pandas_udf(_SCORE)
-        def closest(values: pd.Series) -> pd.DataFrame:
-            ready = _prepared(terms)
-            return pd.DataFrame([_closest(v, ready) for v in values], columns=["component", "score", "position"])
-
-        # Marked so that no filter on the result moves it below the distinct, on to all rows.
-        scored = distinct.withColumn("best", closest.asNondeterministic()(text))
-    else:
-        chunks = -(-index.count() // _CHUNK_TERMS)
-        chunked = index.groupBy(F.pmod(F.xxhash64("component"), F.lit(chunks)).alias("_chunk")).agg(
-            F.array_sort(F.collect_list(F.struct("position", "component"))).alias("_terms")
-        )
-
-        @F.pandas_udf(_SCORE)
-        def closest_in(values: pd.Series, lists: pd.Series) -> pd.DataFrame:
-            rows = [_closest(v, _prepared([(t["component"], t["position"]) for t in terms])) for v, terms in zip(values, lists)]
-            return pd.DataFrame(rows, columns=["component", "score", "position"])
-
-        spread = distinct.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
-        each = spread.join(chunked, "_chunk").withColumn("best", closest_in.asNondeterministic()(text, "_terms")).where("best.component is not null")
-        scored = each.groupBy(text).agg(F.min_by("best", F.struct(-F.col("best.score"), F.col("best.position"))).alias("best"))
-    flat = scored.where("best.component is not null").select(text, "best.component", "best.score")
-    return flat.join(index.select("component", "category"), "component")
+def _word_pairs(words: str) -> Column:
+    """All pairs of a sorted array of words."""
+    last = F.size(words)
+    firsts = F.when(last > 1, F.sequence(F.lit(1), last - 1)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(firsts, lambda i: F.transform(F.sequence(i + 1, last), lambda j: F.struct(F.get(words, i - 1).alias("a"), F.get(words, j - 1).alias("b")))))
 
 
 def word_overlap(names: DataFrame, text: str, keywords: DataFrame) -> DataFrame:
@@ -163,26 +100,37 @@ def word_overlap(names: DataFrame, text: str, keywords: DataFrame) -> DataFrame:
 
     A keyword inside the text scores its share of the length plus a half; else
     shared words of four or more letters score their share of the longer side.
+
+    A word alone is never a key of keywords: what sharing one word scores depends on the two sizes only, so a text meets one
+    row per word, category and size, which counts its keywords; those inside the text are taken off that count. Keywords
+    that share more meet the text at the first two words they share.
     """
     distinct = names.select(text).where(F.length(text) > 0).distinct()
     listed = keywords.select(F.lower("keyword").alias("keyword"), "category", "position")
-    phrases = find_terms(distinct, text, text, listed, "keyword").select(text, F.col("term").alias("keyword")).distinct()
+    phrases = checkpointed(find_terms(distinct, text, text, listed, "keyword").select(text, F.col("term").alias("keyword")).distinct())
     phrase_scores = phrases.join(listed, "keyword").withColumn(
         "score", F.least(F.length("keyword") / F.length(text) + 0.5, F.lit(1.0))
     )
-    words = lambda c: F.array_distinct(F.filter(F.split(F.trim(F.lower(c)), r"\s+"), lambda w: w != ""))
-    text_words = distinct.select(text, F.size(words(text)).alias("_n"), F.explode(words(text)).alias("_word")).where(F.length("_word") >= 4)
-    key_words = listed.select("keyword", "category", "position", F.size(words("keyword")).alias("_m"), F.explode(words("keyword")).alias("_word"))
-    shared = text_words.join(key_words, "_word").groupBy(text, "keyword", "category", "position", "_n", "_m").agg(F.count(F.lit(1)).alias("_shared"))
-    overlap_scores = (
-        shared.join(phrases, [text, "keyword"], "left_anti")
-        .withColumn("score", F.col("_shared") / F.greatest("_n", "_m"))
-    )
-    columns = [text, "category", "position", "score"]
-    both = phrase_scores.select(*columns).unionByName(overlap_scores.select(*columns))
-    per_category = both.groupBy(text, "category").agg(F.max("score").alias("score"))
+    long = lambda words: F.array_sort(F.filter(words, lambda w: F.length(w) >= 4))
+    keyed = listed.select("keyword", "category").distinct().withColumns({"_m": F.size(_words("keyword")), "_own": long(_words("keyword"))}).where(F.size("_own") > 0)
+    sizes = keyed.withColumn("_word", F.explode("_own")).groupBy("_word", "category", "_m").agg(F.count(F.lit(1)).alias("_keywords"))
+    texts = distinct.withColumns({"_n": F.size(_words(text)), "_its": long(_words(text))})
+
+    inside = phrases.join(keyed, "keyword").withColumn("_word", F.explode("_own")).groupBy(text, "_word", "category", "_m").agg(F.count(F.lit(1)).alias("_inside"))
+    one = texts.withColumn("_word", F.explode("_its")).join(sizes, "_word").join(inside, [text, "_word", "category", "_m"], "left")
+    one = one.where(F.col("_keywords") > F.coalesce("_inside", F.lit(0))).withColumn("score", 1 / F.greatest("_n", "_m"))
+
+    pair = F.explode(_word_pairs("_its")).alias("_pair")
+    several = texts.select(text, "_n", "_its", pair).join(keyed.select("keyword", "category", "_m", "_own", F.explode(_word_pairs("_own")).alias("_pair")), "_pair")
+    shared = F.array_intersect("_its", "_own")
+    several = several.where((F.get(shared, F.lit(0)) == F.col("_pair.a")) & (F.get(shared, F.lit(1)) == F.col("_pair.b")))
+    several = several.join(phrases, [text, "keyword"], "left_anti").withColumn("score", F.size(shared) / F.greatest("_n", "_m"))
+
+    columns = [text, "category", "score"]
+    every = phrase_scores.select(*columns).unionByName(one.select(*columns)).unionByName(several.select(*columns))
+    per_category = every.groupBy(text, "category").agg(F.max("score").alias("score"))
     order = keywords.groupBy("category").agg(F.min("position").alias("position"))
-    return per_category.join(order, "category").select(*columns)
+    return per_category.join(order, "category").select(text, "category", "position", "score")
 
 
 def detect(names: DataFrame, name: str, components: DataFrame, keywords: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ from weftwork import vocab
 from weftwork.functions import pages as P
 from weftwork.functions import text as X
 from weftwork.operators import aggregates, filters
-from weftwork.operators.categories import similarity
+from weftwork.operators.similar import similarity
 from weftwork.plans import jobs, standins
 from weftwork.plans.catalog_urls import sql_build_id
+from weftwork.plans.similar_sql import GESTALT
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
 
@@ -385,11 +386,13 @@ def name_normalize(spark, sf):
     return table(spark, sf, "part").select("p_partkey", X.normalize_name(n).alias("clean"))
 
 
-@query("similarity_pairs")
+@query("similarity_pairs", f"""
+WITH RECURSIVE names AS (SELECT DISTINCT p_name, p_type FROM part), pairs AS (SELECT DISTINCT lower(p_name) AS t, lower(p_type) AS c FROM names), {GESTALT}
+SELECT p_name, p_type, round(ratio, 6) AS score FROM names JOIN gestalt ON t = lower(p_name) AND c = lower(p_type)""")
 def similarity_pairs(spark, sf):
     """Similarity of each distinct part name with its type, in Arrow batches."""
     pairs = table(spark, sf, "part").select("p_name", "p_type").distinct()
-    return pairs.select("p_name", "p_type", F.round(similarity("p_name", "p_type"), 6).alias("score"))
+    return pairs.select("p_name", "p_type", F.round(similarity(F.col("p_name"), F.col("p_type")), 6).alias("score"))
 
 
 _MODEL = "CASE event_id % 5 WHEN 0 THEN 'Claude-x' WHEN 1 THEN 'gemini-1' WHEN 2 THEN 'PaLM' WHEN 3 THEN 'gpt-4' ELSE 'llama' END"

@@ -9,6 +9,7 @@ from weftwork.functions import records
 from weftwork.operators import aggregates as A
 from weftwork.operators import categories, filters, graph, joins, sets, state, udfs
 from weftwork.plans import jobs, standins
+from weftwork.plans.similar_sql import GESTALT, cascade
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
 
@@ -346,7 +347,7 @@ def category_regex(spark, sf):
     return rows.select("p_partkey", categories.pattern_category("m").alias("category"), categories.brand("m").alias("brand"))
 
 
-_WORDS = "SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE length(w) BETWEEN 5 AND 20"
+_WORDS = "SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE length(w) >= 5"
 
 
 @query("keyword_join", f"""
@@ -356,7 +357,7 @@ def keyword_join(spark, sf):
     """Dictionary words in whole documents: alone, or inside words from eight letters on."""
     from weftwork.operators.terms import find_terms
 
-    words = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("w")).where("length(w) between 5 and 20")
+    words = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("w")).where("length(w) >= 5")
     found = find_terms(table(spark, sf, "documents"), "doc_id", "text", words, "w", 5, 8)
     return found.select("doc_id", F.col("term").alias("keyword")).distinct()
 
@@ -398,24 +399,47 @@ def word_overlap(spark, sf):
     return out.select("t", "category", F.round("score", 6).alias("score"))
 
 
-@query("fuzzy_components")
+_WORDS_OF_PARTS = "SELECT lower(p_name) AS keyword, min(p_type) AS category, min(p_partkey) AS position FROM part GROUP BY 1"
+
+
+@query("fuzzy_components", f"""
+WITH RECURSIVE kw AS ({_WORDS_OF_PARTS}), pairs AS (SELECT DISTINCT lower(p_name || ' ' || p_brand) AS t, keyword AS c FROM part, kw), {GESTALT}
+SELECT t, c AS component, category, round(ratio, 6) AS score FROM gestalt JOIN kw ON keyword = c WHERE ratio >= 0.5
+QUALIFY row_number() OVER (PARTITION BY t ORDER BY ratio DESC, position) = 1""")
 def fuzzy_components(spark, sf):
-    """The most similar component of each distinct part name (similarity has no SQL form)."""
+    """The most similar component of each distinct part name with its brand."""
     components = _keywords(spark, sf).withColumnRenamed("keyword", "component")
     names = table(spark, sf, "part").select(F.lower(F.concat("p_name", F.lit(" "), "p_brand")).alias("t"))
     out = categories.best_component(names, "t", components)
     return out.select("t", "component", "category", F.round("score", 6).alias("score"))
 
 
-@query("category_cascade")
-def category_cascade(spark, sf):
-    """All steps of the category cascade for each distinct part name (similarity has no SQL form)."""
+def _cascade(spark, sf, names):
     keywords = _keywords(spark, sf)
-    names = table(spark, sf, "part").select(F.concat("p_name", F.lit(" kit "), "p_type").alias("mod_name"))
-    found = categories.detect(names, "mod_name", keywords.withColumnRenamed("keyword", "component"), keywords)
+    found = categories.detect(table(spark, sf, "part").select(F.expr(names).alias("mod_name")), "mod_name", keywords.withColumnRenamed("keyword", "component"), keywords)
     return found.select("mod_name", "category", F.round("confidence", 6).alias("confidence"))
 
 
+_KIT = "p_name || ' kit ' || p_type"
+
+
+@query("category_cascade", cascade(f"SELECT {_KIT} AS mod_name FROM part", _WORDS_OF_PARTS))
+def category_cascade(spark, sf):
+    """The category cascade for each distinct part name: keywords settle all of them."""
+    return _cascade(spark, sf, _KIT)
+
+
+# Names as they are, cut, turned round, with one word kept, and without any: every step of the cascade settles some.
+_MANGLED = """CASE p_partkey % 7 WHEN 0 THEN p_name WHEN 1 THEN 'KW ' || p_name || ' kit' WHEN 2 THEN substr(p_name, 2) || 's' WHEN 3 THEN split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1)
+  WHEN 4 THEN 'brand new ' || split_part(p_name, ' ', 2) WHEN 5 THEN reverse(p_name) || ' 0815' ELSE 'x' || p_partkey % 3 END"""
+
+
+@query("category_cascade_mangled", cascade(f"SELECT {_MANGLED} AS mod_name FROM part", _WORDS_OF_PARTS))
+def category_cascade_mangled(spark, sf):
+    """The same for names that are not in the dictionary as they stand."""
+    return _cascade(spark, sf, _MANGLED)
+
+
 # --- functions over partitions ---------------------------------------------
 
 
