@@ -52,6 +52,20 @@ def small(df: DataFrame, rows: int, weight: Column | None = None) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= rows else df
 
 
+def hot_keys(rows: DataFrame, key: str, split: int, broadcast_rows: int) -> DataFrame:
+    """The keys of more than ``split`` rows and into how many parts their rows are dealt, for ``dealt``. Stored."""
+    often = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > split)
+    return small(stored(often.select(key, F.ceil(F.col("_n") / split).cast("long").alias("_parts"))), broadcast_rows)
+
+
+def dealt(rows: DataFrame, key: str, by: str, table: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` joined with ``table`` on ``key``; the rows of a hot key are dealt out by ``by``, and those of the table repeated."""
+    count = F.coalesce("_parts", F.lit(1).cast("long"))
+    left = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), count)).drop("_parts")
+    right = table.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")
+
+
 def document_key(text: str = "text", doc_id: str = "doc_id") -> list[Column]:
     """Two columns by which rows meet again: equal keys mean the same id and the same text, so repeated rows share them."""
     return [F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_text")]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import blank_words, mixed, parts, same_document, shingle_set, small, stored
+from weftwork.llm.common import blank_words, dealt, hot_keys, mixed, parts, same_document, shingle_set, small, stored
 from weftwork.llm.near_dedup import components
 
 ORDERS = 3
@@ -90,13 +90,26 @@ def _signer(shared, size: int, percent: int):
     return run
 
 
-def _sets(shared, size: int, percent: int):
+def _sets(size: int):
+    """node, shingles of node, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, "text", TEXT_BYTES):
+            sets = [shingle_set(blank_words(t), size).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return run
+
+
+def _prefixes(shared, size: int, percent: int):
+    """node, n, firsts (the prefixes in all orders but the first) of node, text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in parts(batches, "text", TEXT_BYTES):
             sets = [shingle_set(blank_words(t), size) for t in batch.column("text").to_pylist()]
             firsts = [[prefix(s, counts, o, percent).view(np.int64) for o in range(1, ORDERS)] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64()))), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "firsts", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64())))], ["node", "n", "firsts"])
 
     return run
 
@@ -111,42 +124,28 @@ def _can_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Col
     return F.least(n - at, m - to) >= _needed(n, m, percent)
 
 
-def _hot(rows: DataFrame, key: str) -> DataFrame:
-    """The keys of more than ``SPLIT`` rows, and into how many parts their rows are dealt. Stored."""
-    often = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > SPLIT)
-    return small(stored(often.select(key, F.ceil(F.col("_n") / SPLIT).cast("long").alias("_parts"))), BROADCAST_ROWS)
-
-
-def _dealt(rows: DataFrame, key: str, by: str, table: DataFrame, hot: DataFrame) -> DataFrame:
-    """``rows`` joined with ``table`` on ``key``; the rows of a hot key are dealt out by ``by``, and those of the table repeated."""
-    parts_ = F.coalesce("_parts", F.lit(1).cast("long"))
-    left = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), parts_)).drop("_parts")
-    right = table.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts_ - 1))).drop("_parts")
-    return left.join(right, [key, "_part"]).drop("_part")
-
-
 def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     """``pairs`` (a, b), stored, with ``columns`` of the rows of ``table`` (node, ...) of both, as a_..., b_...."""
     out = pairs
     for side, other in (("a", "b"), ("b", "a")):
-        out = _dealt(out, side, other, table.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), _hot(pairs, side))
+        out = dealt(out, side, other, table.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), hot_keys(pairs, side, SPLIT, BROADCAST_ROWS))
     return out
 
 
-def _agreed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose prefixes allow a link in every order but the first, by which they were found."""
-    both = _beside(pairs, sets, "n", "firsts")
+def _agreed(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose prefixes allow a link in every order but the first, by which they were found. Stored."""
+    both = _beside(pairs, prefixes, "n", "firsts")
     for o in range(ORDERS - 1):
         left, right = F.get("a_firsts", F.lit(o)), F.get("b_firsts", F.lit(o))
         first = F.get(F.array_intersect(left, right), F.lit(0))  # in the order of the left one
         both = both.withColumns({f"_x{o}": F.array_position(left, first) - 1, f"_y{o}": F.array_position(right, first) - 1})
         both = both.where(_can_link(F.col("a_n"), F.col(f"_x{o}"), F.col("b_n"), F.col(f"_y{o}"), percent))
-    return both.select("a", "b")
+    return stored(both.select("a", "b"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are linked: those that all orders allow, by their whole sets. Stored."""
-    whole = _beside(stored(_agreed(pairs, sets, percent)), sets, "shingles")
+    """The pairs that are linked, by their whole sets. Stored."""
+    whole = _beside(pairs, sets, "shingles")
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
     return stored(whole.where(common * 100 >= (F.size("a_shingles") + F.size("b_shingles") - common) * percent).select("a", "b"))
 
@@ -156,14 +155,14 @@ def _shared(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     every = nodes.select("node", "n", F.posexplode("first").alias("at", "token"))
     common = stored(every.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"))
     hot = small(stored(common.where(F.col("often") > SPLIT).select("token", F.ceil(F.col("often") / SPLIT).cast("long").alias("_parts"))), BROADCAST_ROWS)
-    return stored(_dealt(every, "token", "node", common, hot)), hot
+    return stored(dealt(every, "token", "node", common, hot)), hot
 
 
 def _star_pairs(entries: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Each node with one node of each token it shares: the one that shares most."""
     share = entries.groupBy("node").agg(F.sum("often").alias("share"))
     centre = entries.join(share, "node").groupBy("token").agg(F.max(F.struct("share", "node", "n", "at")).alias("c"))
-    met = _dealt(entries, "token", "node", centre, hot).where(F.col("node") != F.col("c.node"))
+    met = dealt(entries, "token", "node", centre, hot).where(F.col("node") != F.col("c.node"))
     met = met.where(_can_link(F.col("n"), F.col("at"), F.col("c.n"), F.col("c.at"), percent))
     return stored(met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
 
@@ -176,10 +175,10 @@ def _cross_pairs(entries: DataFrame, hot: DataFrame, roots: DataFrame, percent:
     known = stored(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     per_root = known.groupBy("token", "root").agg(F.count("*").alias("size"))
     several = per_root.groupBy("token").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = stored(_dealt(known, "token", "node", several.select("token", F.col("most.root").alias("largest")), hot))
+    open_ = stored(dealt(known, "token", "node", several.select("token", F.col("most.root").alias("largest")), hot))
     near = open_.where("root != largest").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "at")])
     far = open_.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "at")])
-    met = _dealt(far, "token", "y_node", near, hot).where((F.col("x_root") != F.col("y_root")) & _can_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at"), percent))
+    met = dealt(far, "token", "y_node", near, hot).where((F.col("x_root") != F.col("y_root")) & _can_link(F.col("x_n"), F.col("x_at"), F.col("y_n"), F.col("y_at"), percent))
     return stored(met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
 
 
@@ -201,19 +200,22 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, size: int = 3, perc
     classes = signed.where("n > 0").groupBy("high", "low").agg(head, F.first("n").alias("n"), F.first("first").alias("first"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
+    def of_nodes(pairs: DataFrame, read, fields: str) -> DataFrame:
+        """What ``read`` makes of the text of each node of the pairs, stored: so whole sets are made of few texts only."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = stored(classes.join(nodes, "node", "left_semi").select("node", F.col("head.doc_id").alias("_id"), F.col("head.key").alias("_text")))
         wanted = small(wanted, BROADCAST_ROWS)
         found = texts.select("text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
         whole = found.join(wanted, same_document(found, wanted)).select("node", "text")
-        return stored(whole.mapInArrow(_sets(shared, size, percent), "node long, n long, firsts array<array<long>>, shingles array<long>").dropDuplicates(["node"]))
+        return stored(whole.mapInArrow(read, f"node long, {fields}").dropDuplicates(["node"]))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        left = _agreed(pairs, of_nodes(pairs, _prefixes(shared, size, percent), "n long, firsts array<array<long>>"), percent)
+        return _linked(left, of_nodes(left, _sets(size), "shingles array<long>"), percent)
 
     entries, hot = _shared(classes.where("first IS NOT NULL"))
-    stars = _star_pairs(entries, hot, percent)
-    first = _linked(stars, sets_of(stars), percent)
-    crossing = _cross_pairs(entries, hot, components(first), percent)
-    roots = components(first.union(_linked(crossing, sets_of(crossing), percent)))
+    first = links(_star_pairs(entries, hot, percent))
+    roots = components(first.union(links(_cross_pairs(entries, hot, components(first), percent))))
     shared.destroy()
 
     placed = classes.join(roots, "node", "left").select("high", "low", "head", F.coalesce("root", "node").alias("root"))
