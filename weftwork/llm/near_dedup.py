@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import blank_words, mixed, parts, same_document, sequence_hash, shingle_set, small, stored, widened
+from weftwork.llm.common import blank_words, dealt, hot_keys, mixed, parts, same_document, sequence_hash, shingle_set, small, stored, widened
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 BROADCAST_ROWS = 500_000
 TEXT_BYTES = 4_000_000
+SPLIT = 256  # pairs of a node that one task compares
 
 
 def _picks(first: int, attempts: int) -> np.ndarray:
@@ -110,9 +111,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Both whole sets, ``left`` and ``right``, beside each pair ``a, b``, and the size of what they share."""
+    """Both whole sets, ``left`` and ``right``, beside each stored pair ``a, b``, and the size of what they share.
+
+    The pairs of a centre of very many are dealt over as many parts as they need, and its set is repeated there.
+    """
     left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
+    out = dealt(pairs, "a", "b", left, hot_keys(pairs, "a", SPLIT, BROADCAST_ROWS))
+    out = dealt(out, "b", "a", right, hot_keys(pairs, "b", SPLIT, BROADCAST_ROWS))
+    return out.withColumn("common", F.size(F.array_intersect("left", "right")))
 
 
 def _linked(percent: int):
@@ -126,12 +132,13 @@ def _across(tested: DataFrame, sets: DataFrame, roots: DataFrame, percent: int)
     k (|x| + |y|), with k = (100 - percent) / (100 + percent). For f, |D(f)| > k (|f| + |c|). So f and p are linked only if
     D(f) and D(p) share more than (|D(p)| + k (|c| - |p|)) / 2 shingles, and then p's rarest |D(p)| - that number
     shingles hold one that f has. With both sizes known, the same holds for both sides and the number they must share. Only
-    such pairs are compared, which is a small part of the pairs of a star.
+    such pairs are compared, which is a small part of the pairs of a star. Members of one component need no test: per star
+    and shingle, those of the largest one meet the others alone and none of each other.
     """
     k = (100 - percent) / (100 + percent)
     open_stars = tested.groupBy("a").agg(F.count("*").alias("members"), F.min("linked").alias("all_linked")).where("members > 1 AND NOT all_linked").select("a")
     differ = F.array_union(F.array_except("left", "right"), F.array_except("right", "left"))
-    apart = _compared(tested.join(open_stars, "a", "left_semi").select("a", "b", "linked"), sets)
+    apart = _compared(stored(tested.join(open_stars, "a", "left_semi").select("a", "b", "linked")), sets)
     apart = apart.select("a", "b", "linked", F.size("left").alias("c"), F.size("right").alias("p"), differ.alias("d")).withColumn("size", F.size("d"))
     least = F.greatest(F.lit(1), F.floor((F.col("size") + k * (F.col("c") - F.col("p"))) / 2 - 1e-6) + 1)
     known = roots.select(F.col("node").alias("b"), "root")
@@ -139,12 +146,18 @@ def _across(tested: DataFrame, sets: DataFrame, roots: DataFrame, percent: int)
     items = stored(items.join(known, "b", "left").withColumn("root", F.coalesce("root", "b")))
     often = items.groupBy("a", "e").agg(F.count("*").alias("often"))
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "e"))
-    ranked = items.join(often, ["a", "e"]).withColumn("rank", rank)
-    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("b", "root", "rank", "size", "p")]
-    rare, far = ranked.where("rank <= prefix").select("a", "e", *side("p")), ranked.where("NOT linked").select("a", "e", *side("f"))
-    share = F.greatest(F.lit(1), F.ceil((F.col("f_size") + F.col("p_size") - k * (F.col("f_p") + F.col("p_p"))) / 2 - 1e-6))
-    meet = (far["a"] == rare["a"]) & (far["e"] == rare["e"]) & (F.col("f_root") != F.col("p_root")) & (F.col("p_rank") <= F.col("p_size") - share + 1) & (F.col("f_rank") <= F.col("f_size") - share + 1)
-    return far.join(rare, meet).select(F.least("f_b", "p_b").alias("a"), F.greatest("f_b", "p_b").alias("b")).distinct()
+    ranked = stored(items.join(often, ["a", "e"]).withColumn("rank", rank).withColumn("spot", F.xxhash64("a", "e")))
+    per_root = ranked.groupBy("spot", "root").agg(F.count("*").alias("members"))
+    largest = per_root.groupBy("spot").agg(F.max(F.struct("members", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    hot = hot_keys(ranked, "spot", SPLIT, BROADCAST_ROWS)
+    open_ = stored(dealt(ranked, "spot", "b", largest.select("spot", F.col("most.root").alias("largest")), hot))
+    side = lambda x: ["spot", *[F.col(c).alias(f"{x}_{c}") for c in ("a", "e", "b", "root", "linked", "prefix", "rank", "size", "p")]]
+    near, far = open_.where("root != largest").select(*side("x")), open_.select(*side("y"))
+    share = F.greatest(F.lit(1), F.ceil((F.col("x_size") + F.col("y_size") - k * (F.col("x_p") + F.col("y_p"))) / 2 - 1e-6))
+    met = dealt(far, "spot", "y_b", near, hot).where("x_a = y_a AND x_e = y_e AND x_root != y_root")
+    met = met.where("(NOT x_linked AND y_rank <= y_prefix) OR (NOT y_linked AND x_rank <= x_prefix)")
+    met = met.where((F.col("x_rank") <= F.col("x_size") - share + 1) & (F.col("y_rank") <= F.col("y_size") - share + 1))
+    return met.select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b")).distinct()
 
 
 def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
