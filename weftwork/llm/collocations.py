@@ -17,17 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.llm.common import LOWER, UPPER, hashes, mixed, parts, sequence_hash, stored
+from weftwork.operators.scan import row_numbers
 
 CHUNK = 32  # tokens of a chunk, on average
 BITS = 1 << 27  # of the bitmap of frequent pairs: 16 MB
 SLICE_BYTES = 4_000_000
 HELD_PHRASES = 400_000  # that a task adds up before it gives them on
 HELD_PAIRS = 4_000_000
-SALTS = 64
 MARK = b"\xff"  # no UTF-8 text holds this byte
 _PLAIN = bytes.maketrans(UPPER.encode() + b"\t.,;:!?\x0b\x0c\r", LOWER.encode() + b" " + b"\n" * 9)
 
@@ -231,9 +231,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, share: int
     candidates = stored(_scored(counts, longest))
     kept = candidates.join(_inside_longer(candidates, share), ["lang", "phrase"], "left_anti")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # First within parts of a language, so that no task sorts all candidates of one.
-    split = kept.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
-    few = split.withColumn("_at", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("_at") <= most)
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= most)
+    # Numbered over range segments, so that no task sorts all candidates of a language.
+    ranked = row_numbers(kept, ["lang"], order, "rank").where(F.col("rank") <= most)
     total = counts.where("phrase = ''").select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
