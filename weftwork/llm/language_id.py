@@ -112,31 +112,36 @@ class _Texts:
         return np.add.reduceat(self.weight * np.log((share[self.doc] * self.p).sum(axis=1)), self.first)
 
 
-def _proportions(texts: _Texts, languages: int, steps: int, penalty: float, most: int) -> np.ndarray:
+def _proportions(texts: _Texts, languages: int, steps: int, penalty: float) -> np.ndarray:
     """Proportions of the chosen set of each text.
 
     The set of the k strongest languages costs penalty * (k - 1) * log(number of n-grams) and its negative log
-    likelihood. No set fits better than all languages, so one language is best wherever all gain less than the penalty.
+    likelihood. No set fits better than all languages, so a set is best wherever what all languages gain over it is no
+    more than the next one costs; sets grow until that holds.
     """
     share = texts.em(np.full((len(texts.total), languages), 1 / languages), steps)
     order, price = np.argsort(-share, axis=1, kind="stable"), penalty * np.log(texts.total)
     kept = np.zeros(share.shape)
     np.put_along_axis(kept, order[:, :1], 1.0, axis=1)
     best = -texts.fit(kept)
-    unsure = np.flatnonzero(texts.fit(share) + best > price)
-    part = texts.only(unsure) if len(unsure) else None
-    for k in range(2, min(most, languages) + 1) if part else ():
+    limit = texts.fit(share)
+    unsure = np.flatnonzero(limit + best > price)
+    for k in range(2, languages + 1):
+        if not len(unsure):
+            break
+        part = texts.only(unsure)
         allowed = np.zeros((len(unsure), languages))
         np.put_along_axis(allowed, order[unsure, :k], 1 / k, axis=1)
         now = part.em(allowed, steps)
         cost = (k - 1) * price[unsure] - part.fit(now)
         better = cost < best[unsure]
         best[unsure[better]], kept[unsure[better]] = cost[better], now[better]
+        unsure = unsure[k * price[unsure] - limit[unsure] < best[unsure]]
     return kept
 
 
-def infer(texts: list[str | None], model: Model, steps: int = 8, penalty: float = 1.0, most: int = 3) -> list[tuple[str, float, list[str], list[float]]]:
-    """For each text: strongest language, its proportion, the chosen set of up to ``most`` languages, its proportions.
+def infer(texts: list[str | None], model: Model, steps: int = 8, penalty: float = 1.0) -> list[tuple[str, float, list[str], list[float]]]:
+    """For each text: strongest language, its proportion, the chosen set of languages, its proportions.
 
     Texts without a letter: und, 0. Ties go to the first language by name.
     """
@@ -149,7 +154,7 @@ def infer(texts: list[str | None], model: Model, steps: int = 8, penalty: float
         codes, weight = np.unique(np.concatenate([g + i * BUCKETS for i, (_, g) in enumerate(found)]), return_counts=True)
         logp = model.logp[codes % BUCKETS]
         p = np.exp(logp - logp.max(axis=1, keepdims=True))  # the same factor for all languages changes no comparison
-        for (i, _), row in zip(found, _proportions(_Texts(p, weight.astype(np.float32), codes // BUCKETS), len(model.languages), steps, penalty, most)):
+        for (i, _), row in zip(found, _proportions(_Texts(p, weight.astype(np.float32), codes // BUCKETS), len(model.languages), steps, penalty)):
             ranked = [j for j in np.argsort(-row, kind="stable") if row[j] > 0]
             out[i] = (model.languages[ranked[0]], float(min(1.0, row[ranked[0]])), [model.languages[j] for j in ranked], [float(row[j]) for j in ranked])
         found.clear()
