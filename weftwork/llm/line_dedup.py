@@ -25,6 +25,12 @@ def _hash(line):
     return F.xxhash64(F.trim(line)), F.crc32(F.trim(line).cast("binary"))
 
 
+def _marks(places: str):
+    """True at the places (from 0) of a sorted array, false before and between them."""
+    gap = lambda at, i: F.array_repeat(F.lit(False), at - F.coalesce(F.get(places, i - 1), F.lit(-1)) - 1)
+    return F.flatten(F.transform(places, lambda at, i: F.concat(gap(at, i), F.array(F.lit(True)))))
+
+
 def _needed(line, min_sites: int, long_sites: int | None):
     """The sites that a line must stand on."""
     if long_sites is None:
@@ -62,12 +68,14 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, long_sites: int | None = No
     h, c = _hash(F.col("line"))
     hits = lines.select("_id", "_text", "at", h.alias("h"), c.alias("c")).join(common, ["h", "c"])
     hits = hits.where(~(F.col("first._id").eqNullSafe(F.col("_id")) & (F.col("first._text") == F.col("_text"))))
-    cut = hits.groupBy("_id", "_text").agg(F.collect_set("at").alias("_cut"))
+    cut = hits.groupBy("_id", "_text").agg(F.array_sort(F.collect_set("at")).alias("_cut"))
+    # Made below the join: inside the filter over lines it would be made anew for each of them.
+    cut = cut.select("_id", "_text", F.size("_cut").alias("_removed"), _marks("_cut").alias("_marks"))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = docs.select(*document_key(), F.struct(*[docs[c] for c in kept]).alias("_all"))
     out = rows.join(cut, same_document(rows, cut), "left")
     whole = F.col("_all.text")
-    rest = F.array_join(F.filter(_lines(whole), lambda x, i: ~F.array_contains("_cut", i)), "\n")
-    text = F.when(whole.isNull() | F.col("_cut").isNull(), whole).otherwise(rest)
-    counts = [F.when(whole.isNull(), 0).otherwise(F.size(_lines(whole))).cast("long").alias("n_lines"), F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("n_removed")]
+    rest = F.array_join(F.filter(_lines(whole), lambda x, i: ~F.coalesce(F.get("_marks", i), F.lit(False))), "\n")
+    text = F.when(whole.isNull() | F.col("_marks").isNull(), whole).otherwise(rest)
+    counts = [F.when(whole.isNull(), 0).otherwise(F.size(_lines(whole))).cast("long").alias("n_lines"), F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed")]
     return out.select(*[text.alias("text") if c == "text" else F.col("_all")[c].alias(c) for c in kept], *counts)
