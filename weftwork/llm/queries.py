@@ -60,8 +60,8 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), size=10)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), size=10, slack=2)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,11 +126,19 @@ sizes AS (SELECT DISTINCT n FROM p),
 g AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM d, sizes WHERE len(w) >= n),
 h AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS phrase FROM g),
 hit AS (SELECT h.doc_id, h.s, h.n, p.item_id FROM h JOIN p ON h.phrase = p.phrase AND h.n = p.n),
+pos AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM d),
+ends AS (SELECT phrase, n, string_split(phrase, ' ')[1] AS a, string_split(phrase, ' ')[n] AS z, unnest(range(0, 3)) AS more FROM (SELECT DISTINCT phrase, n FROM p)),
+spans AS (
+  SELECT DISTINCT x.doc_id, x.i AS s, y.i AS e, phrase FROM ends JOIN pos x ON x.t = a JOIN pos y ON y.doc_id = x.doc_id AND y.i = x.i + n - 1 + more AND y.t = z),
+close AS (
+  SELECT DISTINCT spans.doc_id, item_id FROM spans JOIN d ON d.doc_id = spans.doc_id JOIN p USING (phrase)
+  WHERE regexp_full_match(array_to_string(w[s:e], ' '), replace(phrase, ' ', '( [^ ]+){0,2} '))),
+near AS (SELECT doc_id, count(*) AS n_near FROM close GROUP BY 1),
 words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM hit) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY 1)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)""",
     "op10_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, source, unnest(x) AS line, generate_subscripts(x, 1) AS place
