@@ -1,11 +1,15 @@
 """Column functions on hand-picked values."""
 
 import datetime
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from weftwork.functions import buckets, pages, records, text, urls
+from weftwork.functions import pages as page_functions
 
 
 def one(spark, column):
@@ -166,3 +170,38 @@ def test_assertions(spark):
     assert one(spark, records.assertion(F.lit(None).cast("string"), "exists")) is False
     with pytest.raises(ValueError):
         records.assertion(doc, "nonsense")
+
+
+def _plain_elements(html, tag, opening, outermost):
+    """The same by looking for each element's end on its own."""
+    pieces = [p for p in re.split(rf"(?i)(?=</?{tag}\b)", html)]
+    depth, depths = 0, []
+    for p in pieces:
+        depth = max(0, depth + (1 if re.match(rf"(?i)<{tag}\b", p) else -1 if re.match(rf"(?i)</{tag}\b", p) else 0))
+        depths.append(depth)
+    spans = []
+    for i, p in enumerate(pieces):
+        if re.match(opening, p):
+            spans.append((i, next((j for j in range(i + 1, len(pieces)) if depths[j] < depths[i]), len(pieces))))
+    if outermost:
+        spans = [s for s in spans if not any(o[0] < s[0] and o[1] > s[0] for o in spans)]
+    return ["".join(pieces[a:b]) for a, b in spans]
+
+
+@pytest.mark.parametrize("outermost", [False, True])
+def test_nested_elements_against_plain_python(spark, outermost):
+    rng = random.Random(3)
+    bits = ["<div>", '<div class="x">', "</div>", "</div>", "<p>", "t", "<DIV class=\"x\" id=1>", "</Div>"]
+    pages = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 40))) for _ in range(60)] + ['<div class="x">' * 600 + "</div>" * 300, ""]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    opening = '(?i)^<div class="x"'
+    got = {r.i: r.e for r in df.select("i", page_functions.nested_elements(F.col("html"), "div", opening, outermost).alias("e")).collect()}
+    assert got == {i: _plain_elements(h, "div", '(?i)<div class="x"', outermost) for i, h in enumerate(pages)}
+
+
+def test_nested_elements_of_a_huge_page(spark):
+    html = '<div class="x">a</div><div><b>' * 5_000 + "</div>" * 5_000
+    df = spark.createDataFrame([(html,)], "html string")
+    start = time.time()
+    assert df.select(F.size(page_functions.nested_elements(F.col("html"), "div", '(?i)^<div class="x"'))).first()[0] == 5_000
+    assert time.time() - start < 60

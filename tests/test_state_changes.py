@@ -38,3 +38,20 @@ def test_envelopes_are_counted_per_source(spark):
     urls = spark.range(30).select(F.when(F.col("id") < 20, "a").otherwise("b").alias("source"), F.concat(F.lit("u"), "id").alias("url"))
     parts = url_envelopes(urls, batch=4).withColumn("lastUpdated", F.lit("2024-01-01"))
     assert sorted((r.source, r.actual, r.count_check) for r in aggregates.declared_counts(parts).collect()) == [("a", 20, "ok"), ("b", 10, "ok")]
+
+
+def test_a_merge_rewrites_touched_buckets_alone(spark, tmp_path):
+    from weftwork.operators import bucketed
+
+    path, schema, bucket = str(tmp_path), "k bigint, v string", bucketed.hashed("k", 8)
+    bucketed.create(spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v")), path, bucket)
+    changes = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (200, "n", 1)], "k bigint, v string, n int")
+    touched = bucketed.upsert(spark, path, 0, schema, changes, "k", ["n"], bucket)
+    assert bucketed.upsert(spark, path, 0, schema, changes, "k", ["n"], bucket) == touched and len(touched) <= 2
+    assert sorted(p.name for p in (tmp_path / "data/version=1").iterdir() if p.is_dir()) == [f"bucket={b}" for b in touched]
+    rows = {r.k: r.v for r in bucketed.read(spark, path, 1, schema).collect()}
+    assert rows == {i: "c" if i == 1 else "a" for i in range(100)} | {200: "n"}
+    gone = bucketed.delete(spark, path, 1, schema, spark.createDataFrame([(5,), (900,)], "k bigint"), "k", bucket)
+    now = bucketed.read(spark, path, 2, schema)
+    assert {r.k for r in now.collect()} == set(rows) - {5} and {r.bucket for r in now.where("held = 2").collect()} <= set(gone)
+    assert {r.k: r.v for r in bucketed.read(spark, path, 0, schema).collect()} == {i: "a" for i in range(100)}

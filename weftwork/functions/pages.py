@@ -385,25 +385,56 @@ def _images_inside(tags: Column, opening: str) -> Column:
     return F.aggregate(tags, start, step, lambda s: s["found"])
 
 
+_CHUNK = 256
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def nested_elements(html: Column, tag: str, opening: str, outermost: bool = False) -> Column:
     """Elements named ``tag`` whose opening tag matches, whole, those inside others too; ``outermost``: only those inside no other match.
 
-    An element without an end reaches to the end of the text.
+    An element without an end reaches to the end of the text; an end without a beginning counts for nothing. One pass with
+    the stack of open matches: a tag that opens or closes none of them leaves the state as it is, and what is found is
+    kept in chunks, so that the work grows with the page.
     """
+    event = "struct<i:int,d:int>"
+    span = "struct<i:int,e:int>"
     pieces = F.split(html, rf"(?i)(?=</?{tag}\b)")
-    change = F.transform(pieces, lambda p: F.when(p.rlike(rf"(?i)^<{tag}\b"), 1).when(p.rlike(rf"(?i)^</{tag}\b"), -1).otherwise(0))
-    # The depth behind each piece; an end without a beginning counts for nothing.
-    depths = F.aggregate(change, F.array(F.lit(0)), lambda d, c: F.concat(d, F.array(F.greatest(F.element_at(d, -1) + c, F.lit(0)))), lambda d: F.slice(d, 2, F.greatest(F.size(d) - 1, F.lit(0))))
-    rows = F.transform(F.arrays_zip(pieces.alias("p"), depths.alias("d")), lambda r, i: F.struct(r["p"].alias("p"), r["d"].alias("d"), i.alias("i")))
-
-    def end(r):
-        return F.coalesce(F.array_min(F.transform(F.filter(rows, lambda q: (q["i"] > r["i"]) & (q["d"] < r["d"])), lambda q: q["i"])), F.size(pieces))
-
-    opened = F.filter(rows, lambda r: r["p"].rlike(opening))
-    spans = F.transform(opened, lambda r: F.struct(r["i"].alias("i"), end(r).alias("e")))
-    if outermost:
-        spans = F.filter(spans, lambda s: ~F.exists(spans, lambda o: (o["i"] < s["i"]) & (o["e"] > s["i"])))
-    return F.transform(spans, lambda s: F.array_join(F.slice(pieces, s["i"] + 1, s["e"] - s["i"]), ""))
+
+    def events(ps):
+        change = lambda p: F.when(p.rlike(rf"(?i)^<{tag}\b"), 1).when(p.rlike(rf"(?i)^</{tag}\b"), -1).otherwise(0)
+        every = F.transform(ps, lambda p, i: F.struct(i.alias("i"), change(p).alias("c"), p.rlike(opening).alias("m")))
+        return F.filter(every, lambda t: t["c"] != 0)
+
+    start = F.struct(
+        F.lit(0).alias("depth"), F.array().cast(f"array<{event}>").alias("open"), F.array().cast(f"array<{span}>").alias("new"), F.array().cast(f"array<array<{span}>>").alias("done"),
+    )
+
+    def state(depth, open_, new, done):
+        return F.struct(depth.alias("depth"), open_.alias("open"), new.alias("new"), done.alias("done"))
+
+    def step(s, t):
+        depth = F.greatest(s["depth"] + t["c"], F.lit(0))
+        top = F.try_element_at(s["open"], F.lit(-1))
+        opens = (t["c"] == 1) & t["m"] & ((F.size(s["open"]) == 0) if outermost else F.lit(True))
+        closes = F.coalesce((t["c"] == -1) & (top["d"] > depth), F.lit(False))
+        found = F.array(F.struct(top["i"].alias("i"), t["i"].alias("e")))
+        full = F.size(s["new"]) >= _CHUNK
+        return (
+            F.when(opens, state(depth, F.concat(s["open"], F.array(F.struct(t["i"].alias("i"), depth.alias("d")))), s["new"], s["done"]))
+            .when(closes & full, state(depth, F.slice(s["open"], 1, F.size(s["open"]) - 1), found, F.concat(s["done"], F.array(s["new"]))))
+            .when(closes, state(depth, F.slice(s["open"], 1, F.size(s["open"]) - 1), F.concat(s["new"], found), s["done"]))
+            .otherwise(state(depth, s["open"], s["new"], s["done"]))
+        )
+
+    def spans(ps):
+        endless = lambda s: F.transform(s["open"], lambda o: F.struct(o["i"].alias("i"), F.size(ps).alias("e")))
+        return F.aggregate(events(ps), start, step, lambda s: F.array_sort(F.concat(F.flatten(s["done"]), s["new"], endless(s))))
+
+    return _bound(pieces, lambda ps: F.transform(spans(ps), lambda s: F.array_join(F.transform(F.sequence(s["i"], s["e"] - 1), lambda k: F.get(ps, k)), "")))
 
 
 def page_images(html) -> Column:

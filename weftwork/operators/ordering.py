@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftwork import vocab
@@ -64,6 +64,32 @@ def result_page(df: DataFrame, order: Sequence, number: int, size: int) -> DataF
     return beside(page, total).withColumn("remaining", rest).drop("_total")
 
 
+def write_ranked(df: DataFrame, order: Sequence, path: str) -> None:
+    """Stores rows in order, a folder for each range of them, with the rows before each: an index by position.
+
+    Built once, it gives any page by reading the folder or two that hold it (``ranked_page``).
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = scan.order_columns(order)
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
+    ranged.write.mode("overwrite").partitionBy("_range").parquet(f"{path}/rows")
+    sizes = df.sparkSession.read.parquet(f"{path}/rows").groupBy("_range").agg(F.count(F.lit(1)).alias("size"))
+    # One row for each range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+
+
+def ranked_page(spark: SparkSession, path: str, order: Sequence, number: int, size: int) -> DataFrame:
+    """Page ``number`` (from 0) of what ``write_ranked`` stored, with the rows that remain after it; only its ranges are read."""
+    index = spark.read.parquet(f"{path}/index").collect()  # one row for each range
+    first, last = number * size, (number + 1) * size
+    ranges = [r for r in index if r.before < last and r.before + r["size"] > first]
+    total = max((r.before + r["size"] for r in index), default=0)
+    rows = spark.read.parquet(f"{path}/rows").where(F.col("_range").isin([r["_range"] for r in ranges])).drop("_range")
+    page = rows.orderBy(*scan.order_columns(order)).offset(first - min((r.before for r in ranges), default=first)).limit(size)
+    return page.withColumn("remaining", F.lit(max(total - last, 0)).cast("bigint"))
+
+
 def worst_sources(report: DataFrame, n: int = 20) -> DataFrame:
     return report.orderBy(F.col("issues").desc(), "quality", "source").limit(n)
 

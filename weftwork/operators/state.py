@@ -88,6 +88,10 @@ def tables(spark: SparkSession) -> list[str]:
     return [t.name for t in spark.catalog.listTables()]
 
 
+def drop_view(spark: SparkSession, name: str) -> None:
+    spark.catalog.dropTempView(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 

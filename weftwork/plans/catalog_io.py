@@ -116,6 +116,51 @@ def io_failures(spark, sf):
     return readers.read_failures(spark, path, "jsonl").select("url", "error")
 
 
+def _one_file(lines, path):
+    """Writes a text file of this very name."""
+    lines.coalesce(1).write.text(f"{path}.parts")
+    fs = lines.sparkSession._jvm.org.apache.hadoop.fs
+    folder, target = fs.Path(f"{path}.parts"), fs.Path(path)
+    files = folder.getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
+    part = files.globStatus(fs.Path(f"{path}.parts/part-*"))[0].getPath()
+    files.rename(part, target)
+    files.delete(folder, True)
+
+
+def _dual(spark, sf, prefer):
+    """Sites 0 to 4 as JSON lines, 3 to 6 as one document each: 3 and 4 have both."""
+    path, orders = _home(spark), table(spark, sf, "orders").select((F.col("o_custkey") % 7).alias("site"), "o_orderkey")
+    lines = orders.where("site < 5").withColumn("form", F.lit("jsonl"))
+    whole = orders.where("site > 2").withColumn("form", F.lit("json"))
+    for site in range(7):
+        if site < 5:
+            _one_file(lines.where(f"site = {site}").select(F.to_json(F.struct("o_orderkey", "form")).alias("value")), f"{path}/s{site}/builds.jsonl")
+        if site > 2:
+            wrapped = whole.where(f"site = {site}").agg(F.collect_list(F.struct("o_orderkey", "form")).alias("builds"))
+            _one_file(wrapped.select(F.to_json(F.struct("builds")).alias("value")), f"{path}/s{site}/builds.json")
+    return readers.read_dual(spark, path, "builds", "o_orderkey bigint, form string", prefer).groupBy("form").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("io_dual_lines_first", "SELECT form, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM (SELECT o_orderkey, CASE WHEN o_custkey % 7 < 5 THEN 'jsonl' ELSE 'json' END AS form FROM orders) GROUP BY 1")
+def io_dual_lines_first(spark, sf):
+    return _dual(spark, sf, "jsonl")
+
+
+@query("io_dual_documents_first", "SELECT form, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM (SELECT o_orderkey, CASE WHEN o_custkey % 7 > 2 THEN 'json' ELSE 'jsonl' END AS form FROM orders) GROUP BY 1")
+def io_dual_documents_first(spark, sf):
+    return _dual(spark, sf, "json")
+
+
+@query("io_csv_urls", "SELECT CASE page_id % 3 WHEN 0 THEN 'first' ELSE 'second' END AS source, trim(url) AS url, count(*) AS n FROM (SELECT DISTINCT page_id % 3 AS page_id, trim(url) AS url FROM pages WHERE page_id % 3 < 2 AND trim(url) LIKE 'http%') GROUP BY ALL")
+def io_csv_urls(spark, sf):
+    """URLs from CSV files whose columns have different names; a file without such a column is skipped."""
+    path, pages = _home(spark), table(spark, sf, "pages")
+    for part, (name, column) in enumerate((("first", "link"), ("second", "URL"), ("third", "other"))):
+        pages.where(f"page_id % 3 = {part}").select("page_id", F.col("url").alias(column)).write.csv(f"{path}/{name}.csv", header=True, escape='"')
+    files = {f"{path}/first.csv": "link", f"{path}/second.csv": "URL", f"{path}/third.csv": None}
+    return readers.read_csv_urls(spark, files).groupBy("source", "url").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("io_event_store", "SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-10' GROUP BY ALL")
 def io_event_store(spark, sf):
     """Events laid out by type and day; the filter reads only the folders it needs."""

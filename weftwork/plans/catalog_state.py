@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftwork import vocab
 from weftwork.functions import records
 from weftwork.operators import aggregates as A
-from weftwork.operators import categories, filters, graph, joins, sets, state, udfs
+from weftwork.operators import bucketed, categories, filters, graph, joins, sets, state, udfs
 from weftwork.plans import jobs, standins
-from weftwork.plans.similar_sql import GESTALT, cascade
 from weftwork.plans.registry import query, table
+from weftwork.plans.similar_sql import GESTALT, cascade
 from weftwork.plans.standins import with_ctes
+from weftwork.session import checkpoint_dir
 
 # --- state -----------------------------------------------------------------
 
@@ -43,6 +48,33 @@ def state_upsert(spark, sf):
     return state.upsert(_state(spark, sf), _changes(spark, sf), "user_id", ["updated_at", "event_id"])
 
 
+_SCHEMA = "user_id bigint, status string, amount double, updated_at timestamp"
+
+
+@query("state_merge", _UPSERT.replace("user_id % 7 > 0", "user_id % 7 > 0 AND user_id % 16 < 5").rstrip() + """,
+t AS (SELECT DISTINCT user_id % 16 AS bucket FROM n), kept AS (SELECT * FROM up WHERE user_id % 48 <> 3)
+SELECT user_id, status, amount, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at, CAST(CASE WHEN user_id % 16 = 3 THEN 2 WHEN user_id % 16 IN (SELECT bucket FROM t) THEN 1 ELSE 0 END AS INT) AS held FROM kept""")
+def state_merge(spark, sf):
+    """Upsert and delete into bucketed state; ``held`` is the version that last rewrote a row's bucket."""
+    path, bucket = f"{checkpoint_dir(spark)}/state-{uuid.uuid4().hex}", F.col("user_id") % 16
+    bucketed.create(_state(spark, sf), path, bucket)
+    bucketed.upsert(spark, path, 0, _SCHEMA, _changes(spark, sf).where("user_id % 16 < 5"), "user_id", ["updated_at", "event_id"], bucket)
+    gone = table(spark, sf, "events").where("user_id % 48 = 3").select("user_id")
+    bucketed.delete(spark, path, 1, _SCHEMA, gone, "user_id", bucket)
+    out = bucketed.read(spark, path, 2, _SCHEMA)
+    return out.select("user_id", "status", "amount", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"), "held")
+
+
+@query("catalog_tables", "SELECT 'catalog_kept' AS name, count(*) AS n FROM nation")
+def catalog_tables(spark, sf):
+    """Two tables registered, one dropped, the rest listed with its rows."""
+    for name in ("catalog_kept", "catalog_gone"):
+        table(spark, sf, "nation").createOrReplaceTempView(name)
+    state.drop_view(spark, "catalog_gone")
+    names = [n for n in state.tables(spark) if n.startswith("catalog_")]
+    return reduce(DataFrame.union, [spark.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in names])
+
+
 @query("state_history", _UPSERT + """, h AS (SELECT n.user_id, CASE WHEN s.user_id IS NULL AND row_number() OVER (PARTITION BY n.user_id ORDER BY ts, event_id) = 1 THEN 'created' ELSE 'updated' END AS action
   FROM n LEFT JOIN s ON n.user_id = s.user_id) SELECT user_id, action, count(*) AS n FROM h GROUP BY ALL""")
 def state_history(spark, sf):

@@ -16,6 +16,7 @@ from weftwork.plans.catalog_events import _RUN
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
 from weftwork.session import checkpoint_dir
+from weftwork.sources import writers
 from weftwork.streaming import seen, streams
 
 # As many files as one trigger should read; the table given here is one file.
@@ -50,6 +51,17 @@ def stream_status_counts(spark, sf):
     return _run(streams.status_counters(standins.log_of(_events(spark, sf)), ["source"]), "complete")
 
 
+@query("stream_progress_log", with_ctes("log", "SELECT status, count(*) AS n FROM log GROUP BY 1"))
+def stream_progress_log(spark, sf):
+    """A fetch log in JSON lines, read as it grows: some of its files come after the stream has stopped once."""
+    home = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = standins.log(spark, sf).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    for part in range(2):
+        writers.append_progress(rows.where(F.col("event_id") % 2 == part), f"{home}/log")
+        streams.write_available(streams.read_progress(spark, f"{home}/log", 3), f"{home}/out", f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/out").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_dedup", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
 def stream_dedup(spark, sf):
     """Each key once, ever."""

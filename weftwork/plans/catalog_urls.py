@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weftwork import vocab
@@ -11,6 +13,7 @@ from weftwork.operators import aggregates, joins, ordering, sets, windows
 from weftwork.plans import jobs, standins
 from weftwork.plans.registry import query, table
 from weftwork.plans.standins import with_ctes
+from weftwork.session import checkpoint_dir
 from weftwork.sources.writers import url_envelopes
 
 _TRACKING = ", ".join(f"'{p}'" for p in vocab.TRACKING_PARAMS)
@@ -382,3 +385,12 @@ def pages_of_results(spark, sf):
     return ordering.result_page(table(spark, sf, "pages").select("page_id", "url"), ["url", "page_id"], 2, 10)
 
 
+@query("pages_of_results_late", """
+SELECT page_id, url, greatest((SELECT count(*) FROM pages) - (n + 1) * 7, 0) AS remaining FROM (SELECT page_id, url, (SELECT count(*) FROM pages) // 7 - 1 AS n, row_number() OVER (ORDER BY url DESC, page_id) AS rn FROM pages)
+WHERE rn > n * 7 AND rn <= (n + 1) * 7""")
+def pages_of_results_late(spark, sf):
+    """The last full page of seven results, read through an index by position."""
+    pages, path = table(spark, sf, "pages").select("page_id", "url"), f"{checkpoint_dir(spark)}/ranked-{uuid.uuid4().hex}"
+    order = [F.col("url").desc(), "page_id"]
+    ordering.write_ranked(pages, order, path)
+    return ordering.ranked_page(spark, path, order, pages.count() // 7 - 1, 7)
