@@ -101,15 +101,24 @@ def _sets(size: int):
     return run
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each hash of a shingle, in words of 64 bits; four to eight bits for each shingle."""
+    words = max(1, 1 << (len(shingles) * 4 - 1).bit_length() >> 6)
+    at = mixed(shingles) % np.uint64(words * 64)
+    out = np.zeros(words, np.uint64)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
 def _prefixes(shared, size: int, percent: int):
-    """node, n, firsts (the prefixes in all orders but the first) of node, text."""
+    """node, n, firsts (the prefixes in all orders but the first), bits of node, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in parts(batches, "text", TEXT_BYTES):
             sets = [shingle_set(blank_words(t), size) for t in batch.column("text").to_pylist()]
             firsts = [[prefix(s, counts, o, percent).view(np.int64) for o in range(1, ORDERS)] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64())))], ["node", "n", "firsts"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64()))), pa.array([bitmap(s).view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "firsts", "bits"])
 
     return run
 
@@ -133,14 +142,20 @@ def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 
 def _agreed(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose prefixes allow a link in every order but the first, by which they were found. Stored."""
-    both = _beside(pairs, prefixes, "n", "firsts")
+    """The pairs a, b whose prefixes allow a link in every order but the first, by which they were found. Stored.
+
+    Bitmaps of equal size then tell shingles that only one of the two has: at least one for each bit that only it has.
+    """
+    both = _beside(pairs, prefixes, "n", "firsts", "bits")
     for o in range(ORDERS - 1):
         left, right = F.get("a_firsts", F.lit(o)), F.get("b_firsts", F.lit(o))
         first = F.get(F.array_intersect(left, right), F.lit(0))  # in the order of the left one
         both = both.withColumns({f"_x{o}": F.array_position(left, first) - 1, f"_y{o}": F.array_position(right, first) - 1})
         both = both.where(_can_link(F.col("a_n"), F.col(f"_x{o}"), F.col("b_n"), F.col(f"_y{o}"), percent))
-    return stored(both.select("a", "b"))
+    only = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))), F.lit(0), lambda n, m: n + m)
+    needed = _needed(F.col("a_n"), F.col("b_n"), percent)
+    few = (F.col("a_n") - only("a_bits", "b_bits") >= needed) & (F.col("b_n") - only("b_bits", "a_bits") >= needed)
+    return stored(both.where((F.size("a_bits") != F.size("b_bits")) | few).select("a", "b"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -210,7 +225,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, size: int = 3, perc
         return stored(whole.mapInArrow(read, f"node long, {fields}").dropDuplicates(["node"]))
 
     def links(pairs: DataFrame) -> DataFrame:
-        left = _agreed(pairs, of_nodes(pairs, _prefixes(shared, size, percent), "n long, firsts array<array<long>>"), percent)
+        left = _agreed(pairs, of_nodes(pairs, _prefixes(shared, size, percent), "n long, firsts array<array<long>>, bits array<long>"), percent)
         return _linked(left, of_nodes(left, _sets(size), "shingles array<long>"), percent)
 
     entries, hot = _shared(classes.where("first IS NOT NULL"))
