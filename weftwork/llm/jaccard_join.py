@@ -13,6 +13,7 @@ component meet none of each other. So no group is paired in full, and every link
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ from weftwork.llm.common import blank_words, dealt, hot_keys, mixed, parts, same
 from weftwork.llm.near_dedup import components
 
 ORDERS = 3
-COUNTERS = 1 << 16  # of each order
+COUNTERS = 1 << 20  # of each order
+SLICE = 1 << 12  # counters that are sent together
 TEXT_BYTES = 4_000_000
 BROADCAST_ROWS = 500_000
 SPLIT = 256  # pairs of a node that one task compares
@@ -33,7 +35,17 @@ SPLIT = 256  # pairs of a node that one task compares
 def _ordered(shingles: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The counter of each shingle in an order, and its hash there."""
     h = mixed(shingles + np.uint64((order + 1) * 0x9E3779B97F4A7C15 % 2**64))
-    return (h >> np.uint64(48)).astype(np.int64) % COUNTERS, h
+    return (h >> np.uint64(32)).astype(np.int64) % COUNTERS, h
+
+
+def _packed(counts: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """at, n: the number of each slice of the counters, and its counts, packed."""
+    for at, n in counts:
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([zlib.compress(n.astype("<i8").tobytes(), 1)], pa.binary())], ["at", "n"])
+
+
+def _unpacked(n: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(n), "<i8")
 
 
 def _counter(size: int):
@@ -43,19 +55,26 @@ def _counter(size: int):
             found = np.concatenate([shingle_set(blank_words(t), size) for t in batch.column("text").to_pylist()] or [np.zeros(0, np.uint64)])
             for o in range(ORDERS):
                 counts[o] += np.bincount(_ordered(found, o)[0], minlength=COUNTERS)
-        flat = counts.reshape(-1)
-        at = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flat[at])], ["at", "n"])
+        yield from _packed((at, n) for at, n in enumerate(counts.reshape(-1, SLICE)) if n.any())
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, n in zip(batch.column("at").to_pylist(), batch.column("n").to_pylist()):
+            counts[at] = counts.get(at, 0) + _unpacked(n)
+    yield from _packed(iter(counts.items()))
+
+
 def token_counts(docs: DataFrame, size: int) -> np.ndarray:
-    """How many texts hold the shingles of each counter of each order; all texts count."""
-    rows = docs.select("text").mapInArrow(_counter(size), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()  # ORDERS * COUNTERS at most
-    out = np.zeros(ORDERS * COUNTERS, np.int64)
+    """How many texts hold the shingles of each counter of each order, up to 2^32 - 1; all texts count."""
+    counted = docs.select("text").mapInArrow(_counter(size), "at long, n binary")
+    rows = counted.repartition("at").mapInArrow(_summed, "at long, n binary").collect()  # ORDERS * COUNTERS / SLICE at most
+    out = np.zeros((ORDERS * COUNTERS // SLICE, SLICE), np.uint32)
     for r in rows:
-        out[r["at"]] = r.n
+        out[r["at"]] = np.minimum(_unpacked(r["n"]), 2**32 - 1)
     return out.reshape(ORDERS, COUNTERS)
 
 
