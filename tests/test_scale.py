@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftwork.operators import categories, joins, scan, similar, windows
+from weftwork.operators import terms as terms_module
 from weftwork.operators.terms import find_terms
 from weftwork.sources.writers import url_envelopes
 
@@ -101,6 +102,18 @@ def test_find_terms(spark, min_length, alone_below):
     assert {tuple(r) for r in found.collect()} == brute(TEXTS, WORDS, min_length, alone_below)
 
 
+def test_terms_leave_texts_where_they_are(spark, data, monkeypatch):
+    """No text is shuffled or stored for a search, and a dictionary of several shares finds the same."""
+    from weftwork.plans.catalog import queries
+
+    assert "Exchange" not in queries()["keyword_join"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(terms_module, "TERMS_AT_ONCE", 3)
+    monkeypatch.setattr(terms_module, "WINDOW", 16)
+    texts, words = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string"), spark.createDataFrame([(w,) for w in WORDS], "w string")
+    found = find_terms(texts, "id", "text", words, "w", 1, 8)
+    assert {tuple(r) for r in found.collect()} == brute(TEXTS, WORDS, 1, 8)
+
+
 def test_find_terms_with_many_lengths(spark):
     rng = random.Random(3)
     words = ["".join(rng.choice("ab ") for _ in range(n)).strip() or "a" for n in range(1, 31)]
