@@ -106,6 +106,13 @@ def test_pieces_have_the_ids_of_whole_texts():
         assert encoder.encode(text) == encoder.direct(text) + encoder.end
 
 
+def test_plain_words_need_no_whole_encoding(monkeypatch):
+    encoder = token_files.Encoder(BPE, 2)
+    want = encoder.direct("Onnuor señal the the naïve") + encoder.end
+    monkeypatch.setattr(token_files.Encoder, "direct", lambda *_: pytest.fail("a word went through the whole tokenizer"))
+    assert encoder.encode("Onnuor señal the the naïve") == want
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 20, 32])
 def test_packing_is_exact_and_random_access(bits):
     rng = np.random.default_rng(bits)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -87,8 +88,13 @@ class TokenFile:
 
 
 _STRANGE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|  | \\n|\\n |^ | $")
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+")
 _RUN = re.compile("( ?(?<![\\w'])(?<!\\s\\s)[A-Za-zÀ-ÖØ-öø-ſ]+(?!\\w))")
 
+# The characters that byte-level vocabularies write for the 256 bytes.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+
 
 class Encoder(dict):
     """The library's ids (little-endian 32 bit) of pieces of text, by the piece that follows a blank; up to ``CACHED_PIECES`` are remembered.
@@ -109,24 +115,34 @@ class Encoder(dict):
             rules = json.load(file)
         first = rules.get("pre_tokenizer") or {}
         self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not rules.get("normalizer")
+        # No added token can lie in a word where all are special, which are read as plain text.
+        self.plain = self.cuts and rules["model"].get("type") == "BPE" and all(t.get("special") for t in rules.get("added_tokens") or [])
+        self.model = self.tokenizer.model
         self.runs: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, text: str) -> bytes:
+        """The ids of what pre-tokenisation leaves whole, a run of Latin letters with or without a blank before it: the model's own."""
+        if not self.plain:
+            return self.direct(text)
+        ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_SHOWN))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __missing__(self, piece: str) -> bytes:
-        out = self.direct(" " + piece) if piece.isalpha() else self.parts(" " + piece)
+        out = self.word(" " + piece) if _LATIN.fullmatch(piece) else self.parts(" " + piece)
         if len(self) < CACHED_PIECES:
             self[piece] = out
         return out
 
     def parts(self, text: str) -> bytes:
         out = []
-        for part in _RUN.split(text):
+        for i, part in enumerate(_RUN.split(text)):
             if part:
                 ids = self.runs.get(part)
                 if ids is None:
-                    ids = self.direct(part)
+                    ids = self.word(part) if i % 2 else self.direct(part)
                     if len(self.runs) < CACHED_PIECES // 4:
                         self.runs[part] = ids
                 out.append(ids)
