@@ -12,7 +12,7 @@ from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from weftwork.llm import fingerprints, near_dedup, sentencepiece_codec, token_files, toxicity
+from weftwork.llm import fingerprints, near_dedup, quality, sentencepiece_codec, token_files, toxicity
 from weftwork.llm.common import blank_words
 from weftwork.llm.queries import QUERIES
 
@@ -321,3 +321,22 @@ def test_cut_lines_of_a_long_text(spark):
     rows = [(i, "\n".join(x for c in common for x in ([c, f"own {i} {c}"] if i else [c])), f"s{i}") for i in range(4)]
     got = {r.doc_id: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string"), 3).collect()}
     assert got[0].text == rows[0][1] and all(got[i].text == "\n".join(f"own {i} {c}" for c in common) and got[i].n_removed == 400 for i in (1, 2, 3))
+
+
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """The model is that of all pairs in one block, whatever the blocks; a label more or less changes it."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = [(i, " ".join(word(rng.randint(2, 9)) for _ in range(20)) + (" ## $$ |" * rng.randint(0, 3) if i % 3 else "")) for i in range(400)]
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, quality int")
+    one = quality.train(docs, labels)
+    taught = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    scores = sorted(float(one.raw(quality.features(texts[i][1]))) for i in taught)
+    bad = sum(i % 3 > 0 for i in taught)
+    assert one.threshold == pytest.approx((scores[bad - 1] + scores[bad]) / 2)
+    fewer = quality.train(docs, labels.where(f"doc_id <> {taught[-1]}"))
+    assert not np.array_equal(one.mean, fewer.mean)
+    monkeypatch.setattr(quality, "BLOCK", 40)
+    monkeypatch.setattr(quality, "PARTNERS", 30)
+    many = quality.train(docs, labels)
+    assert np.allclose(one.mean, many.mean) and np.corrcoef(one.weights, many.weights)[0, 1] > 0.9

@@ -1,8 +1,9 @@
 """Quality by pairwise ranking: a Bradley-Terry model learns scores from preference pairs.
 
 A pair prefers a text of good quality to one of bad quality. The score is linear in features of the text's form; the
-weights minimise the logistic loss of the pairs' feature differences. The threshold is a quantile of the labelled
-scores: as many are below it as labels are bad.
+weights minimise the logistic loss of the pairs' feature differences, by Newton steps over all labelled texts. Texts lie in
+blocks, and a block gives all pairs of its good and its bad ones; so every labelled text is in many pairs, and pairs grow
+with the texts, not with their square. The threshold is a quantile of all labelled scores: as many are below it as are bad.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import held_out, parts, widened
+from weftwork.llm.common import held_out, parts, small, stored, widened
 
-PER_CLASS = 15_000
-PAIRS = 60_000
+BLOCK = 500  # texts of the commoner kind in a block
+PARTNERS = 100  # texts of the rarer kind in a block, at least (all, if fewer)
+BROADCAST_LABELS = 2_000_000
+BINS = 512
 TEXT_BYTES = 4_000_000
 _KINDS = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\n", b".", b",", b"!?", b"|", b"#$%&*@^~+=<>{}[]\\_`", b"'\"()-:;/", bytes(range(128, 256))]
 _CLASS = np.zeros((256, len(_KINDS)))
@@ -64,53 +67,133 @@ class Ranker:
         return float(1 / (1 + np.exp(-np.clip(self.raw(features(text)) - self.threshold, -40, 40))))
 
 
-def fit(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int = PAIRS, steps: int = 300, rate: float = 0.05, decay: float = 1e-3, seed: int = 7) -> Ranker:
-    """Learns from the feature rows of good and bad texts; the pairs are drawn with a fixed seed."""
-    rows = np.concatenate([good, bad])
-    mean, spread = rows.mean(axis=0), rows.std(axis=0) + 1e-6
-    scaled = [np.clip((x - mean) / spread, -8, 8) for x in (good, bad)]
-    rng = np.random.default_rng(seed)
-    differ = scaled[0][rng.integers(0, len(good), pairs)] - scaled[1][rng.integers(0, len(bad), pairs)]
-    w, moments = np.zeros(rows.shape[1]), np.zeros((2, rows.shape[1]))
-    for step in range(1, steps + 1):
-        grad = -(differ / (1 + np.exp(np.clip(differ @ w, -40, 40)))[:, None]).mean(axis=0) + decay * w
-        moments[0] = 0.9 * moments[0] + 0.1 * grad
-        moments[1] = 0.99 * moments[1] + 0.01 * grad**2
-        w = w - rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-9)
-    all_scores = np.concatenate([x @ w for x in scaled])
-    weight = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)), np.full(len(bad), bad_share / len(bad))])
-    order = np.argsort(all_scores, kind="stable")
-    cut = np.searchsorted(np.cumsum(weight[order]), bad_share)
-    low, high = all_scores[order[min(cut, len(order) - 1)]], all_scores[order[min(cut + 1, len(order) - 1)]]
-    return Ranker(mean, spread, w, float((low + high) / 2))
-
-
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Ranker:
-    """Learns from rows of both tables (doc_id, text; doc_id, quality) that are not held out.
-
-    At most about ``per_class`` good and as many bad texts are used, chosen by a hash of doc_id; the driver gets their
-    features alone. The share of bad ones is that of all labels. Null ids, texts and labels teach nothing; a doc_id with
-    several labels is bad if one of them is. Without labels of both kinds every score is 0.5.
-    """
-    known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sizes = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
+def _summed(rows: DataFrame, of_batch) -> list[np.ndarray]:
+    """What ``of_batch`` makes of each Arrow batch of ``rows``, numbers alone, on the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([of_batch(batch).ravel()], pa.list_(pa.float64()))], ["v"])
+
+    return [np.array(v) for v in rows.mapInArrow(run, "v array<double>").toArrow().column("v").to_pylist()]
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    x = batch.column(batch.schema.get_field_index("x"))
+    return np.asarray(x.flatten()).reshape(len(x), -1)
+
+
+def _blocks(rows: DataFrame, good: int, bad: int) -> DataFrame:
+    """block, good, bad: the features of its texts as float64, stored. The rarer kind stands in several blocks where it is too rare."""
+    count, kind, few = -(-max(good, bad) // BLOCK), int(good >= bad), min(good, bad)
+    copies = min(count, -(-PARTNERS * count // few))
+    turn = F.when(F.col("quality") == kind, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(copies - 1)))
+    dealt = rows.withColumn("_turn", F.explode(turn)).withColumn("block", F.pmod(F.pmod("spot", F.lit(count)) + F.col("_turn"), F.lit(count)))
+
+    def packed(table: pa.Table) -> pa.Table:
+        y, x = np.asarray(table.column("quality")), np.array(table.column("x").to_pylist())
+        return pa.table({"good": pa.array([x[y == 1].tobytes()], pa.binary()), "bad": pa.array([x[y == 0].tobytes()], pa.binary())})
+
+    return stored(dealt.select("block", "quality", "x").groupBy("block").applyInArrow(packed, "good binary, bad binary"))
+
+
+def _pair_sums(batch: pa.RecordBatch, model: Ranker) -> np.ndarray:
+    """Loss, number, gradient and curvature of all pairs of each block, added up."""
+    n = len(model.weights)
+    out = np.zeros(2 + n + n * n)
+    for data in zip(batch.column("good"), batch.column("bad")):
+        g, b = (np.clip((np.frombuffer(d.as_py()).reshape(-1, n) - model.mean) / model.spread, -8, 8) for d in data)
+        margin = (g @ model.weights)[:, None] - (b @ model.weights)[None, :]
+        wrong = 1 / (1 + np.exp(np.clip(margin, -40, 40)))
+        bend = wrong * (1 - wrong)
+        cross = g.T @ bend @ b
+        curve = g.T @ (g * bend.sum(axis=1)[:, None]) + b.T @ (b * bend.sum(axis=0)[:, None]) - cross - cross.T
+        slope = b.T @ wrong.sum(axis=0) - g.T @ wrong.sum(axis=1)
+        out += np.concatenate([[np.logaddexp(0, -margin).sum(), margin.size], slope, curve.ravel()])
+    return out
+
+
+def fit(rows: DataFrame, steps: int = 15, decay: float = 1e-3) -> Ranker:
+    """Learns from all ``rows`` (spot, quality 0 or 1, x): each task sends sums alone. Without rows of both kinds every score is 0.5."""
+    def moments(batch: pa.RecordBatch) -> np.ndarray:
+        y, x = np.asarray(batch.column("quality")), _matrix(batch)
+        return np.stack([np.r_[y.sum(), len(y), x.sum(axis=0)], np.r_[0, 0, (x * x).sum(axis=0)]])
+
+    sums = [x.reshape(2, -1) for x in _summed(rows, moments)]
+    if not sums:
+        return Ranker()
+    total = np.sum(sums, axis=0)
+    good, n = int(total[0, 0]), int(total[0, 1])
+    if not 0 < good < n:
         return Ranker()
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    limit = F.when(F.col("quality") == 1, int(min(1, per_class / sizes[1]) * (1 << 40))).otherwise(int(min(1, per_class / sizes[0]) * (1 << 40)))
-    chosen = known.where(spot < limit)
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    mean = total[0, 2:] / n
+    spread = np.sqrt(np.maximum(total[1, 2:] / n - mean**2, 0)) + 1e-6
+    blocks, size = _blocks(rows, good, n - good), len(mean)
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        model = Ranker(mean, spread, w)
+        got = np.sum(_summed(blocks, lambda b: _pair_sums(b, model)), axis=0)
+        loss, slope, curve = got[0] / got[1], got[2 : 2 + size] / got[1], got[2 + size :].reshape(size, size) / got[1]
+        return loss + decay / 2 * w @ w, slope + decay * w, curve + decay * np.eye(size)
+
+    w = np.zeros(size)
+    loss, slope, curve = at(w)
+    move = -np.linalg.solve(curve, slope)
+    for _ in range(steps):
+        tried = at(w + move)
+        if tried[0] > loss:
+            move = move / 2
+            continue
+        gain, w, (loss, slope, curve) = loss - tried[0], w + move, tried
+        if gain < 1e-7:
+            break
+        move = -np.linalg.solve(curve, slope)
+    return Ranker(mean, spread, w, _threshold(rows, Ranker(mean, spread, w), n - good))
+
+
+def _threshold(rows: DataFrame, model: Ranker, bad: int) -> float:
+    """Halfway between the ``bad``-th smallest score of all rows and the next one, found by counting in ever finer bins."""
+    ends = np.array(_summed(rows, lambda b: np.array([(s := model.raw(_matrix(b))).min(), s.max()])))
+    low, high, below, after = ends[:, 0].min(), ends[:, 1].max(), 0, np.inf
+    while True:
+        edges = np.linspace(low, high, BINS + 1)
+
+        def counted(b: pa.RecordBatch, edges=edges) -> np.ndarray:
+            s = model.raw(_matrix(b))
+            s = s[(s >= edges[0]) & (s <= edges[-1])]
+            bins = np.clip(np.searchsorted(edges, s, side="right") - 1, 0, BINS - 1)
+            least, most = np.full(BINS, np.inf), np.full(BINS, -np.inf)
+            np.minimum.at(least, bins, s)
+            np.maximum.at(most, bins, s)
+            return np.stack([np.bincount(bins, minlength=BINS), least, most])
+
+        got = np.array(_summed(rows, counted)).reshape(-1, 3, BINS)
+        n, least, most = got[:, 0].sum(axis=0), got[:, 1].min(axis=0), got[:, 2].max(axis=0)
+        i = int(np.searchsorted(below + np.cumsum(n), bad))
+        after = min(after, least[i + 1 :].min(initial=np.inf))
+        below += int(n[:i].sum())
+        low, high = least[i], most[i]
+        if low == high:
+            following = low if below + n[i] > bad else after
+            return float((low + following) / 2) if np.isfinite(following) else float(low)
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Ranker:
+    """Learns from all rows of both tables (doc_id, text; doc_id, quality) that are not held out.
+
+    Null ids, texts and labels teach nothing; a doc_id with several labels is bad if one of them is. Without labelled texts
+    of both kinds every score is 0.5. The features of labelled texts are stored; the driver gets sums alone.
+    """
+    known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    mine = docs.select("doc_id", "text").where(F.col("text").isNotNull() & ~held_out())
+    texts = mine.join(small(stored(known), BROADCAST_LABELS), "doc_id").select(F.xxhash64("doc_id", "text").alias("spot"), "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text", TEXT_BYTES):
             rows = [features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("quality")], ["x", "quality"])
+            yield pa.RecordBatch.from_arrays([batch.column("spot"), batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))], ["spot", "quality", "x"])
 
-    got = texts.mapInArrow(run, f"x array<double>, quality {dict(chosen.dtypes)['quality']}").toArrow()
-    x, y = np.array(got.column("x").to_pylist()), np.array(got.column("quality").to_pylist())
-    if not (y == 1).any() or not (y == 0).any():
-        return Ranker()
-    return fit(x[y == 1], x[y == 0], sizes[0] / (sizes[0] + sizes[1]))
+    return fit(stored(texts.mapInArrow(run, "spot long, quality int, x array<double>")))
 
 
 def score(docs: DataFrame, model: Ranker, threshold: float = 0.5) -> DataFrame:
