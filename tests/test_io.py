@@ -188,3 +188,19 @@ def test_udf_errors_are_rows(spark):
     assert rows[0][0] is None and rows[0][1].startswith("ZeroDivisionError") and rows[2] == (5, None)
     assert udfs.outcomes(out).first().failed == 1
     assert "error" not in udfs.map_values(spark.range(2), lambda r: 1, T.LongType()).columns
+
+
+def test_dual_forms_in_part_files(spark, data, tmp_path, monkeypatch):
+    """Neither form needs a whole site in one task or one document; sources of part files are those of whole files."""
+    from weftwork.plans import catalog_io
+
+    monkeypatch.setattr(catalog_io, "_home", lambda _: str(tmp_path / "io"))
+    monkeypatch.setattr(catalog_io, "_DOCUMENT", 100)
+    got = {(r.form, r.n) for r in catalog_io.io_dual_lines_first(spark, data).collect()}
+    sites = [r[0] % 7 for r in spark.read.parquet(f"{data}/orders.parquet").select("o_custkey").collect()]
+    assert got == {("jsonl", sum(s < 5 for s in sites)), ("json", sum(s > 4 for s in sites))}
+    documents = list((tmp_path / "io/s3/builds.json").glob("part-*"))
+    assert len(documents) > 1 and all(len(json.loads(d.read_text())["builds"]) < 100 for d in documents)
+    put(tmp_path / "io/s9/builds.json", {"builds": [{"o_orderkey": 1, "form": "json"}]})
+    found = readers.read_dual(spark, str(tmp_path / "io"), "builds", "o_orderkey bigint, form string")
+    assert {r.source for r in found.select("source").distinct().collect()} == {"s9", *(f"s{s}" for s in set(sites))}

@@ -116,28 +116,33 @@ def io_failures(spark, sf):
     return readers.read_failures(spark, path, "jsonl").select("url", "error")
 
 
-def _one_file(lines, path):
-    """Writes a text file of this very name."""
-    lines.coalesce(1).write.text(f"{path}.parts")
-    fs = lines.sparkSession._jvm.org.apache.hadoop.fs
-    folder, target = fs.Path(f"{path}.parts"), fs.Path(path)
-    files = folder.getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
-    part = files.globStatus(fs.Path(f"{path}.parts/part-*"))[0].getPath()
-    files.rename(part, target)
-    files.delete(folder, True)
+_DOCUMENT = 100_000  # records of a wrapped document
+
+
+def _move(spark, source, target):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path(source)):
+        files.mkdirs(path(target).getParent())
+        files.rename(path(source), path(target))
 
 
 def _dual(spark, sf, prefer):
-    """Sites 0 to 4 as JSON lines, 3 to 6 as one document each: 3 and 4 have both."""
+    """Sites 0 to 4 as JSON lines, 3 to 6 as wrapped documents: 3 and 4 have both.
+
+    A site's lines lie in as many files as tasks wrote them, its documents in files of one document with at most about
+    ``_DOCUMENT`` records each, so no task and no document holds a whole site.
+    """
     path, orders = _home(spark), table(spark, sf, "orders").select((F.col("o_custkey") % 7).alias("site"), "o_orderkey")
-    lines = orders.where("site < 5").withColumn("form", F.lit("jsonl"))
+    lines = orders.where("site < 5").select("site", F.to_json(F.struct("o_orderkey", F.lit("jsonl").alias("form"))).alias("value"))
+    lines.write.partitionBy("site").text(f"{path}.lines")
     whole = orders.where("site > 2").withColumn("form", F.lit("json"))
+    parts = max(1, -(-whole.count() // _DOCUMENT))
+    wrapped = whole.groupBy("site", F.pmod(F.xxhash64("o_orderkey"), F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("o_orderkey", "form")).alias("builds"))
+    wrapped.select("site", F.to_json(F.struct("builds")).alias("value")).write.partitionBy("site").option("maxRecordsPerFile", 1).text(f"{path}.documents")
     for site in range(7):
-        if site < 5:
-            _one_file(lines.where(f"site = {site}").select(F.to_json(F.struct("o_orderkey", "form")).alias("value")), f"{path}/s{site}/builds.jsonl")
-        if site > 2:
-            wrapped = whole.where(f"site = {site}").agg(F.collect_list(F.struct("o_orderkey", "form")).alias("builds"))
-            _one_file(wrapped.select(F.to_json(F.struct("builds")).alias("value")), f"{path}/s{site}/builds.json")
+        _move(spark, f"{path}.lines/site={site}", f"{path}/s{site}/builds.jsonl")
+        _move(spark, f"{path}.documents/site={site}", f"{path}/s{site}/builds.json")
     return readers.read_dual(spark, path, "builds", "o_orderkey bigint, form string", prefer).groupBy("form").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
 
 

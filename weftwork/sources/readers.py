@@ -87,8 +87,8 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
 
 
 def source_of_path(path) -> Column:
-    """The folder above the file names the source."""
-    return F.regexp_extract(urls._col(path), r"([^/]+)/[^/]+$", 1)
+    """The folder above the file names the source, also where the file is itself a folder of part files."""
+    return F.regexp_extract(urls._col(path), r"([^/]+)/(?:[^/]+\.jsonl?/part-)?[^/]+$", 1)
 
 
 def with_source(df: DataFrame) -> DataFrame:
@@ -126,7 +126,10 @@ def read_records(spark: SparkSession, pattern: str, schema: str, wrapper: str |
 
 
 def read_dual(spark: SparkSession, folder: str, name: str, schema: str, prefer: str = "jsonl") -> DataFrame:
-    """Records stored as ``{name}.jsonl`` or ``{name}.json``; per source the preferred form wins."""
+    """Records stored as ``{name}.jsonl`` or ``{name}.json``; per source the preferred form wins.
+
+    Either is a file or a folder of files, each of which holds lines or one document.
+    """
     parts = []
     for fmt in ("jsonl", "json"):
         pattern = f"{folder}/*/{name}.{fmt}"
