@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 from tokenizers import Tokenizer
@@ -113,6 +114,24 @@ def test_plain_words_need_no_whole_encoding(monkeypatch):
     assert encoder.encode("Onnuor señal the the naïve") == want
 
 
+def test_many_texts_are_encoded_by_their_distinct_pieces(monkeypatch):
+    """Words after blanks go to the library together, whatever is remembered; the ids are those of whole texts."""
+    rng = random.Random(2)
+    parts = ["a", "Zé", "don't", "'s", "1", ",", ".", ":", "!?", "\n", "\n\n", ".\nThe", " ", " ", " ", "  ", "\t", "\x01", "\x02", "\x00", "α", "ſ", "_b", "x" * 70, "字字", "<s>"]
+    texts = [None, "", "\n", " ", *("".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(3000))]
+    for pieces, length in ((700_000, 64), (7, 64), (50, 3), (0, 64)):
+        monkeypatch.setattr(token_files, "CACHED_PIECES", pieces)
+        monkeypatch.setattr(token_files, "CACHED_LENGTH", length)
+        encoder = token_files.Encoder(BPE, 2)
+        for some in (texts[:1000], texts[1000:], texts[::-1]):
+            assert [x.tobytes() for x in encoder.encode_all(pa.array(some, pa.string()))] == [(encoder.direct(x) if x else b"") + encoder.end for x in some]
+        assert len(encoder) <= max(2, pieces)
+    encoder = token_files.Encoder(BPE, 2)
+    want = [encoder.direct(f"x word{i} word{i}") + encoder.end for i in range(300)]
+    monkeypatch.setattr(token_files.Encoder, "direct", lambda *_: pytest.fail("a piece was encoded by itself"))
+    assert [x.tobytes() for x in encoder.encode_all(pa.array([f"x word{i} word{i}" for i in range(300)]))] == want
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 20, 32])
 def test_packing_is_exact_and_random_access(bits):
     rng = np.random.default_rng(bits)

@@ -16,22 +16,26 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import shared_path
+from weftwork.llm.common import parts, shared_path
 
 MAGIC = b"WEFTTOK1"
 BLOCK = 4096
 FILE_TOKENS = 1 << 21
+SLICE = 4 << 20
 CACHED_PIECES = 700_000
+CACHED_LENGTH = 64
+TOGETHER = 100
 
 
 def bits_for(vocabulary: int) -> int:
@@ -87,9 +91,12 @@ class TokenFile:
         return self.slice(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-_STRANGE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|  | \\n|\\n |^ | $")
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+")
-_RUN = re.compile("( ?(?<![\\w'])(?<!\\s\\s)[A-Za-zÀ-ÖØ-öø-ſ]+(?!\\w))")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
+_LATIN = re.compile(f"[{_LETTER}]+")
+# In a piece, BARE stands for "no blank before it"; STOP is the piece that gives the end id.
+_BARE, _STOP = "\x01", "\x02"
+_STRANGE = "[\x01\x02\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  | \n|\n |^ | $"
+_CUTS = ((f"([{_LETTER}])([.,;:!?\n])", rf"\1 {_BARE}\2"), (f"([^ \n])\n([{_LETTER}])", f"\\1\n {_BARE}\\2"))
 
 # The characters that byte-level vocabularies write for the 256 bytes.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -97,16 +104,19 @@ _SHOWN = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(so
 
 
 class Encoder(dict):
-    """The library's ids (little-endian 32 bit) of pieces of text, by the piece that follows a blank; up to ``CACHED_PIECES`` are remembered.
+    """The library's ids of whole texts, by way of the distinct pieces of many texts at once.
 
     Texts are cut where byte-level pre-tokenisation always cuts, so that the pieces' ids in a row are the text's ids: before
-    a blank between two other characters (the blank goes with what follows), and around a run of Latin letters that
-    has neither a letter, digit or underscore nor an apostrophe beside it.
+    a blank between two other characters (the blank goes with what follows), between a Latin letter and a mark or line break after
+    it, and between a single line break and a letter. Arrow cuts the texts and numbers their pieces; only distinct pieces that are not
+    remembered go to the library, ``TOGETHER`` in a row. This maps a remembered piece to its place in ``starts``; at most
+    ``CACHED_PIECES`` of at most ``CACHED_LENGTH`` characters are. Other texts are encoded whole.
     """
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.bits = bits_for(max(self.tokenizer.get_vocab_size(), end + 1))
@@ -114,47 +124,83 @@ class Encoder(dict):
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         first = rules.get("pre_tokenizer") or {}
-        self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not rules.get("normalizer")
-        # No added token can lie in a word where all are special, which are read as plain text.
-        self.plain = self.cuts and rules["model"].get("type") == "BPE" and all(t.get("special") for t in rules.get("added_tokens") or [])
+        cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not rules.get("normalizer")
+        # No added token can lie in a piece where all are special, which are read as plain text.
+        self.plain = cuts and rules["model"].get("type") == "BPE" and all(t.get("special") for t in rules.get("added_tokens") or [])
         self.model = self.tokenizer.model
-        self.runs: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(_SHOWN[32])]] = True
+        self.ids, self.starts = np.frombuffer(self.end, "<u4"), np.array([0, 0, 1], np.int64)
+        self.update({_BARE: 0, _STOP: 1})
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, text: str) -> bytes:
-        """The ids of what pre-tokenisation leaves whole, a run of Latin letters with or without a blank before it: the model's own."""
-        if not self.plain:
-            return self.direct(text)
-        ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_SHOWN))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, piece: str) -> bytes:
-        out = self.word(" " + piece) if _LATIN.fullmatch(piece) else self.parts(" " + piece)
-        if len(self) < CACHED_PIECES:
-            self[piece] = out
-        return out
-
-    def parts(self, text: str) -> bytes:
-        out = []
-        for i, part in enumerate(_RUN.split(text)):
-            if part:
-                ids = self.runs.get(part)
-                if ids is None:
-                    ids = self.word(part) if i % 2 else self.direct(part)
-                    if len(self.runs) < CACHED_PIECES // 4:
-                        self.runs[part] = ids
-                out.append(ids)
-        return b"".join(out)
+        """The ids of what pre-tokenisation leaves whole, a run of Latin letters: the model's own."""
+        return np.array([t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_SHOWN))], "<u4").tobytes()
+
+    def in_a_row(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, each with a blank before it and none inside, and how many each has: a token with a blank opens a piece."""
+        rows = [" " + " ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), "<u4")
+        opens = np.flatnonzero(self.opens[ids])
+        if len(opens) == len(pieces):
+            return ids, np.diff(opens, append=len(ids))
+        return self.each([" " + p for p in pieces])
+
+    def each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.frombuffer(self.word(p) if _LATIN.fullmatch(p) else self.direct(p), "<u4") for p in pieces]
+        return np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64)
+
+    def places(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each piece in ``starts``; the ids and starts, with those that are new here."""
+        at = np.fromiter(map(self.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(at < 0)
+        names = [pieces[i] for i in new]
+        apart = np.array([p[0] == _BARE or "\n" in p for p in names], bool)
+        short = np.array([len(p) <= CACHED_LENGTH for p in names], bool)
+        kept = short & (np.cumsum(short) <= CACHED_PIECES - len(self))
+        ids, starts = self.ids, self.starts
+        for keep, alone in ((True, False), (True, True), (False, False), (False, True)):
+            chosen = np.flatnonzero((kept == keep) & (apart == alone))
+            if not len(chosen):
+                continue
+            texts = [names[i] for i in chosen]
+            more, sizes = self.each([p[1:] if p[0] == _BARE else " " + p for p in texts]) if alone else self.in_a_row(texts)
+            own = np.arange(len(chosen)) + len(starts) - 1
+            at[new[chosen]] = own
+            ids, starts = np.concatenate([ids, more]), np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
+            if keep:
+                self.update(zip(texts, own.tolist()))
+                self.ids, self.starts = ids, starts
+        return at, ids, starts
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text with the end id; null is as empty."""
+        if not len(texts):
+            return []
+        empty = pa.scalar("", texts.type)
+        whole = pc.fill_null(pc.match_substring_regex(texts, _STRANGE) if self.plain else pc.greater(pc.binary_length(texts), 0), False)
+        cut = pc.binary_join_element_wise(pa.scalar(_BARE, texts.type), pc.if_else(whole, empty, pc.fill_null(texts, empty)), pa.scalar(" " + _STOP, texts.type), empty)
+        for pattern, by in _CUTS:
+            cut = pc.replace_substring_regex(cut, pattern, by)
+        lists = pc.split_pattern(cut, " ")
+        coded = lists.flatten().dictionary_encode()
+        at, ids, starts = self.places(pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_py().split(" "))
+        at = at[np.asarray(coded.indices)]
+        sizes = np.diff(starts)[at]
+        stops = np.cumsum(sizes)
+        out = ids[np.repeat(starts[at] - stops + sizes, sizes) + np.arange(stops[-1])]
+        found = np.split(out, stops[np.cumsum(np.asarray(pc.list_value_length(lists)))[:-1] - 1])
+        for i in np.flatnonzero(np.asarray(whole)):
+            found[i] = np.frombuffer(self.direct(texts[i].as_py()) + self.end, "<u4")
+        return found
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if not self.cuts or _STRANGE.search(text):
-            return self.direct(text) + self.end
-        first, *rest = text.split(" ")
-        return self.parts(first) + b"".join(map(self.__getitem__, rest)) + self.end
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -186,9 +232,8 @@ def write(docs: DataFrame, tokenizer: str, end: int = 2) -> str:
             values = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.array([size], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([data], pa.binary())]
             return pa.RecordBatch.from_arrays(values, ["part", "seq", "before", "tokens", "doc_ids", "file"])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                found = np.frombuffer(encoder.encode(text), "<u4")
+        for batch in parts(batches, "text", SLICE):
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text"))):
                 ids.append(doc_id), held.append(found)
                 size += len(found)
                 if size >= FILE_TOKENS:
