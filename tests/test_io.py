@@ -204,3 +204,25 @@ def test_dual_forms_in_part_files(spark, data, tmp_path, monkeypatch):
     put(tmp_path / "io/s9/builds.json", {"builds": [{"o_orderkey": 1, "form": "json"}]})
     found = readers.read_dual(spark, str(tmp_path / "io"), "builds", "o_orderkey bigint, form string")
     assert {r.source for r in found.select("source").distinct().collect()} == {"s9", *(f"s{s}" for s in set(sites))}
+
+
+def test_folders_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    """Small folders are spread over tasks whatever they weigh, a large one is split, a null one is kept, and listing takes few tasks."""
+    monkeypatch.setattr(writers, "FOLDERS_PER_TASK", 10)
+    rows = [(f"s{i % 60}", f"https://a/{i}") for i in range(240)] + [("hot", f"https://h/{i}") for i in range(100)] + [(None, f"https://n/{i}") for i in range(50)]
+    urls = spark.createDataFrame([*rows, ("7", 'x, "y"'), ("a/b=c", "https://b")], "source string, url string")
+    writers.export_urls_by_source(urls, path := str(tmp_path / "csv"))
+    files = [f.name[:10] for f in (tmp_path / "csv").glob("*/part-*")]
+    assert len(set(files)) > 4 and max(map(files.count, files)) < 40
+    dealt = writers.by_folder(urls, "source", rows=20)
+    held = dealt.withColumn("task", F.spark_partition_id()).groupBy("source", "task").count().collect()
+    assert sorted(map(tuple, dealt.collect()), key=repr) == sorted(map(tuple, urls.collect()), key=repr)
+    assert len([r for r in held if r.source == "hot"]) > 1 and len([r for r in held if r.source is None]) > 1 and len([r for r in held if r.source == "s1"]) == 1
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, seen, load = spark.conf.get(setting), [], type(spark.read).csv
+    monkeypatch.setattr(type(spark.read), "csv", lambda self, *a, **k: (seen.append(int(spark.conf.get(setting))), load(self, *a, **k))[1])
+    got = readers.read_urls_by_source(spark, path)
+    assert seen == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(setting) == before
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, urls.collect()), key=repr)
+    writers.export_urls_by_source(urls.where("false"), empty := str(tmp_path / "none"))
+    assert readers.read_urls_by_source(spark, empty).collect() == []

@@ -87,7 +87,7 @@ def io_url_lists(spark, sf):
     urls = standins.log(spark, sf).select("source", "url").distinct()
     envelopes = writers.url_envelopes(urls)
     rows = envelopes.select(F.to_json(F.struct("urls", "totalCount")).alias("value"), F.col("source").alias("folder"))
-    rows.hint("rebalance", "folder").write.partitionBy("folder").text(path)
+    writers.by_folder(rows, "folder", rows=10).write.partitionBy("folder").text(path)
     return readers.read_urls(spark, f"{path}/*/*.txt").select("url", F.regexp_replace("source", "^folder=", "").alias("source"))
 
 
@@ -95,7 +95,7 @@ def io_url_lists(spark, sf):
 def io_url_csv(spark, sf):
     path = _home(spark)
     writers.export_urls_by_source(standins.log(spark, sf).select("source", "url").distinct(), path)
-    return spark.read.csv(path, header=True).select("source", "url")
+    return readers.read_urls_by_source(spark, path)
 
 
 @query("io_progress_log", with_ctes("log", "SELECT url, filename, status, error FROM log UNION ALL SELECT url, filename, status, error FROM log WHERE status = 'blocked'"))

@@ -211,6 +211,21 @@ def read_csv_urls(spark: SparkSession, files: dict[str, str | None]) -> DataFram
     return out.where(F.col("url").startswith("http")).distinct()
 
 
+def read_urls_by_source(spark: SparkSession, path: str) -> DataFrame:
+    """(source, url) from a folder per source of CSV files with a header, however many folders there are.
+
+    The columns are given, as Spark would look at every file anew to find them. Folders are listed by a few tasks for each
+    core; Spark's own setting is a task for each folder up to 10,000.
+    """
+    name, tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism)
+    before = spark.conf.get(name)
+    spark.conf.set(name, tasks)
+    try:
+        return spark.read.schema("url string, source string").csv(path, header=True).select("source", "url")
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_pages(spark: SparkSession, pattern: str) -> DataFrame:
     """Stored pages as (path, name, content, length): one row per file, bytes untouched."""
     df = spark.read.format("binaryFile").load(pattern)

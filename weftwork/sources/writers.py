@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.functions.urls import page_filename
 from weftwork.operators.joins import with_inventory
+from weftwork.session import checkpointed
 
 _SUFFIXES = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".jsonl": "json"}
 
@@ -32,14 +35,28 @@ def export_query(spark: SparkSession, query: str, path: str, fmt: str | None = N
     export(spark.sql(query, args=params) if params else spark.sql(query), path, fmt)
 
 
-def _by_folder(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows of one folder together before a partitioned write: few files per folder, and Spark splits the large folders."""
-    return df.hint("rebalance", *columns)
+FOLDERS_PER_TASK = 200
+
+
+def by_folder(df: DataFrame, *columns: str, rows: int = 1_000_000) -> DataFrame:
+    """Rows of one folder together before a partitioned write, as a folder costs far more than its bytes.
+
+    A task gets about ``FOLDERS_PER_TASK`` folders, however little they hold; a folder of over ``rows`` rows is dealt out by
+    the hash of its rows, so that no task holds a large one.
+    """
+    counts = checkpointed(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")))
+    size = counts.agg(F.count(F.lit(1)).alias("folders"), F.sum("_n").alias("rows")).first()
+    hot = counts.where(F.col("_n") > rows).select(*[F.col(c).alias(f"_hot_{c}") for c in columns], F.ceil(F.col("_n") / rows).alias("_parts"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in columns])
+    row = F.xxhash64(*[f"`{c}`" for c, kind in df.dtypes if "map<" not in kind])
+    dealt = df.join(F.broadcast(hot), same, "left").withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(row, "_parts")))
+    tasks = max(1, -(-size["folders"] // FOLDERS_PER_TASK), -(-(size["rows"] or 0) // rows))
+    return dealt.repartition(tasks, *columns, "_part").select(*df.columns)
 
 
 def export_urls_by_source(urls: DataFrame, path: str) -> None:
     """One CSV folder per source."""
-    _by_folder(urls, "source").write.mode("overwrite").partitionBy("source").option("header", True).csv(path)
+    by_folder(urls, "source").write.mode("overwrite").partitionBy("source").option("header", True).csv(path)
 
 
 def save_urls(urls: DataFrame, path: str, source: str, as_of: Column | None = None) -> None:
@@ -67,7 +84,7 @@ def url_envelopes(urls: DataFrame, batch: int = 100_000) -> DataFrame:
 
 
 def write_envelopes(urls: DataFrame, path: str) -> None:
-    _by_folder(url_envelopes(urls), "source").write.mode("overwrite").partitionBy("source").json(path)
+    by_folder(url_envelopes(urls), "source", rows=10).write.mode("overwrite").partitionBy("source").json(path)
 
 
 def sorted_urls(urls: DataFrame) -> DataFrame:
@@ -106,7 +123,7 @@ def append_progress(records: DataFrame, path: str) -> None:
 def append_events(events: DataFrame, path: str, ts: str = "timestamp") -> None:
     """Typed events, laid out by type and day so that readers can skip files."""
     dated = events.withColumn("date", F.to_date(ts))
-    _by_folder(dated, "event_type", "date").write.mode("append").partitionBy("event_type", "date").parquet(path)
+    by_folder(dated, "event_type", "date").write.mode("append").partitionBy("event_type", "date").parquet(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:
