@@ -202,3 +202,14 @@ def test_suffix_match(spark):
     sources = spark.createDataFrame([("data/my_shop",), ("data/other",)], "output_dir string")
     out = {r.source_id: r.output_dir for r in joins.match_by_suffix(ids, sources).collect()}
     assert out == {"shop": "data/my_shop", "my_shop": "data/my_shop", "zzz": None}
+
+
+def test_similar_texts_start_from_stored_distinct_ones(spark, monkeypatch):
+    """Neither threshold goes back to the rows that the distinct texts come from."""
+    real, plans = similar.candidates, []
+    monkeypatch.setattr(similar, "candidates", lambda names, *rest: (plans.append(names._jdf.queryExecution().optimizedPlan().toString()), real(names, *rest))[1])
+    names = spark.createDataFrame([(t,) for t in ["blue ring x", "cold bolt", "zzzz", None, ""] * 50], "t string")
+    terms = spark.createDataFrame([("blue ring", 1), ("cold bolt", 2)], "component string, position int")
+    got = similar.most_similar(names, "t", terms, "component", "position").collect()
+    assert {(r.t, r.component) for r in got} == {("blue ring x", "blue ring"), ("cold bolt", "cold bolt")}
+    assert len(plans) == 2 and not any("Aggregate" in p for p in plans)

@@ -90,7 +90,8 @@ def most_similar(names: DataFrame, text: str, terms: DataFrame, term: str, posit
     Texts that find a term by ``first`` look no further: any other pair has a bound below that. Only the rest is tried with
     the lower threshold.
     """
-    open_ = names.select(text).where(F.col(text).isNotNull()).distinct()
+    # Stored, so that what follows starts from the distinct texts, however many rows there are.
+    open_ = checkpointed(names.select(text).where(F.col(text).isNotNull()).distinct())
     found = None
     for threshold in sorted({max(first, least), least}, reverse=True):
         pairs = checkpointed(candidates(open_, text, terms.select(term, position), term, threshold))
