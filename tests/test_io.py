@@ -226,3 +226,43 @@ def test_folders_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, urls.collect()), key=repr)
     writers.export_urls_by_source(urls.where("false"), empty := str(tmp_path / "none"))
     assert readers.read_urls_by_source(spark, empty).collect() == []
+
+
+def test_folders_are_written_and_read_in_batches(spark, data, tmp_path, monkeypatch):
+    """No job writes or reads more folders or files than a batch holds, whatever their number, and no URL is lost."""
+    from weftwork.plans import catalog_io, standins
+
+    for module, name, n in ((writers, "FOLDERS_PER_JOB", 4), (readers, "FILES_PER_READ", 5), (readers, "FOLDERS_PER_LOOKUP", 2)):
+        monkeypatch.setattr(module, name, n, raising=False)
+    monkeypatch.setattr(catalog_io, "_home", lambda _: str(tmp_path / "io"))
+    read, load, write, save = [], type(spark.read).text, [], type(spark.range(1).write).text
+    monkeypatch.setattr(type(spark.read), "text", lambda self, *a, **k: (df := load(self, *a, **k), read.append(len(df.inputFiles())))[0])
+    monkeypatch.setattr(type(spark.range(1).write), "text", lambda self, path, *a, **k: (save(self, path, *a, **k), write.append(len(list((tmp_path / "io").glob("**/folder=*")))))[0])
+    got = sorted(map(tuple, catalog_io.io_url_lists(spark, data).select("source", "url").collect()))
+    want = sorted(map(tuple, standins.log(spark, data).select("source", "url").distinct().collect()))
+    sources = len({source for source, _ in want})
+    assert got == want and sources > 10
+    assert sum(read) >= sources and max(read) <= 5
+    assert write[-1] == sources and max(b - a for a, b in zip([0, *write], write)) < sources
+
+
+def test_urls_of_odd_folder_names(spark, tmp_path, monkeypatch):
+    """Batches find the files of a glob and no others, whatever signs are in names; settings come back."""
+    for name in ("a", "b,c", "d{e", "f}g", "h*i", "hxi", "j[k]", "jk", "l?m", "n\\o", "p q", "r%20s", "_x", "^y"):
+        put(tmp_path / "in" / name / "urls.json", [f"https://{name}/1"])
+    put(tmp_path / "in" / "a" / "b,{1}.txt", ["https://a/2"])
+    put(tmp_path / "in" / "file", "x")
+    (tmp_path / "in" / "none").mkdir()
+    monkeypatch.setattr(readers, "FILES_PER_READ", 3, raising=False)
+    monkeypatch.setattr(readers, "FOLDERS_PER_LOOKUP", 2, raising=False)
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.filesourcePartitionFileCacheSize")
+    before = [spark.conf.get(name) for name in names]
+    for pattern, n in (("in/*/urls.json", 14), ("*/*/*.json", 14), ("in/{a,b\\,c}/urls.json", 2), ("in/{a/urls,p q/*}.json", 2), ("in/[a-m]*/u*.{json,txt}", 9),
+                       ("in/h\\*i/*", 1), ("in/*/b,*.txt", 1), ("in/*/b,\\{1\\}.*", 1), ("in/a/urls.json", 1), ("in/a", 2)):
+        whole = spark.read.text(f"{tmp_path}/{pattern}", wholetext=True).select(F.explode(F.from_json("value", "array<string>")))
+        got = sorted(r.url for r in readers.read_urls(spark, f"{tmp_path}/{pattern}").collect())
+        assert got == sorted(r[0] for r in whole.collect()) and len(got) == n, pattern
+        assert all(pattern == "in/a" or len(spark.read.text(p).inputFiles()) <= 3 for p in readers.file_batches(spark, f"{tmp_path}/{pattern}"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.read_urls(spark, f"{tmp_path}/in/*/no.json")
+    assert [spark.conf.get(name) for name in names] == before

@@ -87,8 +87,8 @@ def io_url_lists(spark, sf):
     urls = standins.log(spark, sf).select("source", "url").distinct()
     envelopes = writers.url_envelopes(urls)
     rows = envelopes.select(F.to_json(F.struct("urls", "totalCount")).alias("value"), F.col("source").alias("folder"))
-    writers.by_folder(rows, "folder", rows=10).write.partitionBy("folder").text(path)
-    return readers.read_urls(spark, f"{path}/*/*.txt").select("url", F.regexp_replace("source", "^folder=", "").alias("source"))
+    writers.write_text_folders(rows, path, "folder", rows=10)
+    return readers.read_urls(spark, f"{path}/*/*/*.txt").select("url", F.regexp_replace("source", "^folder=", "").alias("source"))
 
 
 @query("io_url_csv", with_ctes("log", "SELECT DISTINCT source, url FROM log"))

@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
+import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from functools import partial
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +19,7 @@ from weftwork import schemas
 from weftwork.functions import urls
 from weftwork.operators.filters import url_of_entry
 from weftwork.operators.scan import first_rows
+from weftwork.session import checkpoint_dir
 
 WRAPPERS = ["builds", "mods", "urls", "data", "items", "records"]
 _MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
@@ -83,6 +91,74 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n)
 
 
+# --- many files ------------------------------------------------------------
+
+FILES_PER_READ, FOLDERS_PER_LOOKUP, LOOKUPS = 20_000, 200, 8
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def few_listing_tasks(spark: SparkSession) -> dict[str, str]:
+    """A few tasks for each core list the files; Spark's own setting is a task for each path up to 10,000."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    jvm, path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    paths = jvm.scala.runtime.ScalaRunTime.genericWrapArray(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)) if found else None
+    return paths.mkString("\0").split("\0") if paths else []
+
+
+def _any_of(root: str, paths: list[str], below: str = "") -> str:
+    """One pattern for just these paths, or for what a pattern finds below them.
+
+    Hadoop resolves braces that hold folders into one pattern each and drops a backslash there; names need a second one.
+    """
+    below = re.sub(r"([\\,])", r"\\\1", below)
+    return root + "{" + ",".join(re.sub(r"([\\{}\[\]*?,])", r"\\\\\\\1", p[len(root):]) + below for p in paths) + "}"
+
+
+def file_batches(spark: SparkSession, pattern: str) -> Iterator[str]:
+    """Patterns for ``FILES_PER_READ`` files each that together find what ``pattern`` finds.
+
+    Folders are looked up level by level, on the last one by ``LOOKUPS`` threads with ``FOLDERS_PER_LOOKUP`` each, so that the driver holds no
+    more than the names of one folder's folders besides the batch. Folders within braces are looked up at once.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(pattern).getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path("/")).toString()
+    steps = [""]
+    for part in [pattern] if re.search(r"\{.*/.*\}", pattern) else re.split("(?=/)", pattern):
+        steps[-1] += part
+        if re.search(r"[{}\[\]*?]", part):
+            steps.append("")
+    first, *rest = [step for step in steps if step]
+    found = iter(_glob(spark, first))
+    for i, step in enumerate(rest, 1):
+        found = _below(spark, root, found, step, FOLDERS_PER_LOOKUP if i == len(rest) else 1)
+    while batch := list(islice(found, FILES_PER_READ)):
+        yield _any_of(root, batch)
+
+
+def _below(spark: SparkSession, root: str, folders: Iterator[str], step: str, at_once: int) -> Iterator[str]:
+    threads = LOOKUPS if at_once > 1 else 1
+    with ThreadPoolExecutor(threads) as pool:
+        while some := list(islice(folders, at_once * threads)):
+            groups = [_any_of(root, some[i:i + at_once], step) for i in range(0, len(some), at_once)]
+            for found in pool.map(partial(_glob, spark), groups):
+                yield from found
+
+
 # --- per-source data -------------------------------------------------------
 
 
@@ -146,7 +222,23 @@ def read_dual(spark: SparkSession, folder: str, name: str, schema: str, prefer:
 
 
 def read_urls(spark: SparkSession, pattern: str) -> DataFrame:
-    """(url, source) from ``urls.json`` envelopes or lists of strings or objects."""
+    """(url, source) from ``urls.json`` envelopes or lists of strings or objects.
+
+    Every file costs the driver some kilobytes from its listing to the end of its reading, so batches of files are read one
+    after the other and their rows stored. A file weighs little in a task, and none is kept in Spark's cache of listings.
+    """
+    stored = f"{checkpoint_dir(spark)}/urls-{uuid.uuid4().hex}"
+    small = {"spark.sql.files.openCostInBytes": "64k", "spark.sql.hive.filesourcePartitionFileCacheSize": "0"}
+    with settings(spark, few_listing_tasks(spark) | small):
+        batch = None
+        for batch in file_batches(spark, pattern):
+            _urls_in(spark, batch).write.mode("append").parquet(stored)
+        if batch is None:
+            return _urls_in(spark, pattern)  # nothing found: Spark's own error
+    return spark.read.schema("url string, source string").parquet(stored)
+
+
+def _urls_in(spark: SparkSession, pattern: str) -> DataFrame:
     text = spark.read.text(pattern, wholetext=True)
     text = text.select("value", source_of_path(F.col("_metadata.file_path")).alias("source"))
     entries = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.get_json_object("value", "$.urls"))
@@ -214,16 +306,10 @@ def read_csv_urls(spark: SparkSession, files: dict[str, str | None]) -> DataFram
 def read_urls_by_source(spark: SparkSession, path: str) -> DataFrame:
     """(source, url) from a folder per source of CSV files with a header, however many folders there are.
 
-    The columns are given, as Spark would look at every file anew to find them. Folders are listed by a few tasks for each
-    core; Spark's own setting is a task for each folder up to 10,000.
+    The columns are given, as Spark would look at every file anew to find them.
     """
-    name, tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism)
-    before = spark.conf.get(name)
-    spark.conf.set(name, tasks)
-    try:
+    with settings(spark, few_listing_tasks(spark)):
         return spark.read.schema("url string, source string").csv(path, header=True).select("source", "url")
-    finally:
-        spark.conf.set(name, before)
 
 
 def read_pages(spark: SparkSession, pattern: str) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+import uuid
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftwork.functions.urls import page_filename
 from weftwork.operators.joins import with_inventory
-from weftwork.session import checkpointed
+from weftwork.session import checkpoint_dir, checkpointed
 
 _SUFFIXES = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".jsonl": "json"}
 
@@ -54,6 +56,25 @@ def by_folder(df: DataFrame, *columns: str, rows: int = 1_000_000) -> DataFrame:
     return dealt.repartition(tasks, *columns, "_part").select(*df.columns)
 
 
+FOLDERS_PER_JOB = 20_000
+
+
+def write_text_folders(df: DataFrame, path: str, column: str, rows: int = 1_000_000) -> None:
+    """Texts as ``{path}/batch={n}/{column}={value}/``; a job writes one batch, about ``FOLDERS_PER_JOB`` folders.
+
+    The driver keeps names and figures of each folder a job writes until it ends. Rows are stored by batch first, so that a
+    job reads no others.
+    """
+    spark, stored = df.sparkSession, f"{checkpoint_dir(df.sparkSession)}/batches-{uuid.uuid4().hex}"
+    batches = max(1, -(-df.agg(F.approx_count_distinct(column)).first()[0] // FOLDERS_PER_JOB))
+    dealt = df.withColumn("batch", F.pmod(F.xxhash64(column), F.lit(batches)).cast("int"))
+    dealt.hint("rebalance", "batch").write.partitionBy("batch").parquet(stored)
+    held = spark.read.schema(T.StructType([*df.schema, T.StructField("batch", T.IntegerType())])).parquet(stored)
+    for batch in range(batches):
+        own = by_folder(held.where(F.col("batch") == batch).drop("batch"), column, rows=rows)
+        own.write.partitionBy(column).text(f"{path}/batch={batch}")
+
+
 def export_urls_by_source(urls: DataFrame, path: str) -> None:
     """One CSV folder per source."""
     by_folder(urls, "source").write.mode("overwrite").partitionBy("source").option("header", True).csv(path)
