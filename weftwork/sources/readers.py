@@ -114,10 +114,21 @@ def few_listing_tasks(spark: SparkSession) -> dict[str, str]:
 
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    jvm, path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    """What a glob finds. Lists are fetched in parts and let go at once, as Python would keep them until it happens to collect its garbage."""
+    jvm, let_go, path = spark._jvm, spark.sparkContext._gateway.detach, spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    paths = jvm.scala.runtime.ScalaRunTime.genericWrapArray(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)) if found else None
-    return paths.mkString("\0").split("\0") if paths else []
+    if not found:
+        return []
+    paths, names = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found), []
+    held = jvm.scala.runtime.ScalaRunTime.genericWrapArray(paths)
+    let_go(found)
+    for start in range(0, len(paths), FILES_PER_READ):
+        part = held.slice(start, start + FILES_PER_READ)
+        names += part.mkString("\0").split("\0")
+        let_go(part)
+    let_go(held)
+    let_go(paths)
+    return names
 
 
 def _any_of(root: str, paths: list[str], below: str = "") -> str:
